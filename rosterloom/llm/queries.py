@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.llm import byte_bpe, decontaminate, line_dedup, mpeg_media, secret_scan, token_counts, warc
+from rosterloom.llm import byte_bpe, decontaminate, kn_quality, line_dedup, mpeg_media, secret_scan, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_kn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumns({c: F.round(c, 6) for c in ("perplexity", "threshold")})
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.through_archives(table(spark, sf_dir, "pages"))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -54,7 +59,7 @@ def op10_mpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc, op5_token_counts, op6_line_dedup, op7_decontaminate, op8_byte_bpe, op9_secret_scan, op10_mpeg_media)}
+    return {f.__name__: f for f in (op1_kn_quality, op2_warc, op5_token_counts, op6_line_dedup, op7_decontaminate, op8_byte_bpe, op9_secret_scan, op10_mpeg_media)}
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
