@@ -11,10 +11,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 16 << 20
 
@@ -80,3 +83,58 @@ def chunk_table(df: DataFrame, text: str, about: Callable[[pa.Table], dict[str,
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.mapInArrow(run, types).write.option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name, format="parquet")
     return spark.table(name)
+
+
+# sorted numbers, small ------------------------------------------------------------------------------
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Whole numbers as zstd of their byte planes."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+
+
+def rising(values: np.ndarray) -> bytes:
+    return squeeze(np.diff(values, prepend=np.uint64(0)))
+
+
+def unrising(data: bytes) -> np.ndarray:
+    return np.cumsum(unsqueeze(data), dtype=np.uint64)
+
+
+# document frequencies -------------------------------------------------------------------------------
+
+#: Columns of a chunk table: for each shard of the fingerprint space the chunk's sorted fingerprints, and how many of its documents hold each.
+SHARDED = "prints array<binary>, counts array<binary>"
+
+
+def sharded(prints: np.ndarray, bits: int, shards: int) -> tuple[list[bytes], list[bytes]]:
+    """The SHARDED columns of the fingerprints (of `bits` bits) that the documents of a chunk hold, each once for each document."""
+    distinct, counts = np.unique(prints, return_counts=True)
+    edges = np.array([(i << bits) // shards for i in range(1, shards)], np.uint64)
+    at = [0, *np.searchsorted(distinct, edges).tolist(), len(distinct)]
+    return [rising(distinct[a:b]) for a, b in zip(at, at[1:])], [squeeze(counts[a:b]) for a, b in zip(at, at[1:])]
+
+
+def document_frequencies(chunks: DataFrame) -> DataFrame:
+    """(_chunk, shard, df): how many documents of the whole table hold each fingerprint of each chunk. A shard is one group; shards are even, as fingerprints are."""
+    each = chunks.select("chunk", F.posexplode(F.arrays_zip("prints", "counts")).alias("shard", "x")).select("chunk", "shard", "x.prints", "x.counts")
+
+    def summed(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = [unrising(x) for x in pdf["prints"]]
+        _, at = np.unique(np.concatenate(own), return_inverse=True)
+        df = np.bincount(at, np.concatenate([unsqueeze(x) for x in pdf["counts"]])).astype(np.uint64)[at]
+        return pd.DataFrame({"_chunk": pdf["chunk"], "shard": pdf["shard"], "df": [squeeze(x) for x in np.split(df, np.cumsum([len(x) for x in own])[:-1])]})
+
+    return each.groupBy("shard").applyInPandas(summed, "_chunk long, shard int, df binary")
+
+
+def frequencies_of(prints: np.ndarray, answer: pd.DataFrame) -> np.ndarray:
+    """The document frequency of each fingerprint of a chunk, from the chunk's rows of document_frequencies."""
+    df = np.concatenate([np.zeros(0, np.uint64), *(unsqueeze(x) for x in answer.sort_values("shard")["df"])])
+    return df[np.searchsorted(np.unique(prints), prints)]

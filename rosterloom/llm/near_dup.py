@@ -28,11 +28,10 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.llm.chunks import CHUNK_BYTES, chunk_table, frame, unpack
+from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, chunk_table, document_frequencies, frame, frequencies_of, rising, sharded, unpack, unrising
 from rosterloom.llm.common import chunks as pieces
 from rosterloom.llm.common import grams_of, mix, text_of, words_of, written
 from rosterloom.llm.graph import components
@@ -40,28 +39,6 @@ from rosterloom.llm.graph import components
 SHINGLE, SIMILARITY, BANDS, ROWS, TILE = 5, 0.8, 16, 3, 256
 
 
-# sorted numbers, small ------------------------------------------------------------------------------
-
-
-def squeeze(values: np.ndarray) -> bytes:
-    """Whole numbers as zstd of their byte planes."""
-    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unsqueeze(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
-
-
-def rising(values: np.ndarray) -> bytes:
-    return squeeze(np.diff(values, prepend=np.uint64(0)))
-
-
-def unrising(data: bytes) -> np.ndarray:
-    return np.cumsum(unsqueeze(data), dtype=np.uint64)
-
-
 # shingles -----------------------------------------------------------------------------------------
 
 
@@ -100,12 +77,6 @@ def _texts(table: pa.Table) -> list[bytes]:
     return table["_text"].cast(pa.binary()).to_pylist()
 
 
-def _shards(prints: np.ndarray, bits: int, shards: int) -> np.ndarray:
-    """Where each shard of the fingerprint space starts in sorted fingerprints."""
-    edges = [np.uint64((i << bits) // shards) for i in range(1, shards)]
-    return np.concatenate([[0], np.searchsorted(prints, np.array(edges, np.uint64)), [len(prints)]]).astype(np.int64)
-
-
 # sampling -----------------------------------------------------------------------------------------
 
 
@@ -205,27 +176,16 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int, least: f
 
     def about(table: pa.Table) -> dict[str, list]:
         _, prints, _, _ = shingles(_texts(table), bits)
-        distinct, counts = np.unique(prints, return_counts=True)
-        at = _shards(distinct, bits, shards)
-        return {"prints": [rising(distinct[a:b]) for a, b in zip(at, at[1:])], "counts": [squeeze(counts[a:b]) for a, b in zip(at, at[1:])]}
-
-    chunks = chunk_table(docs.withColumn("_text", text_of(text)), "_text", about, "prints array<binary>, counts array<binary>", chunk_bytes)
-    each = chunks.select("chunk", F.posexplode(F.arrays_zip("prints", "counts")).alias("shard", "x")).select("chunk", "shard", "x.prints", "x.counts")
-
-    def frequencies(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = [unrising(x) for x in pdf["prints"]]
-        _, at = np.unique(np.concatenate(own), return_inverse=True)
-        df = np.bincount(at, np.concatenate([unsqueeze(x) for x in pdf["counts"]])).astype(np.uint64)[at]
-        return pd.DataFrame({"_chunk": pdf["chunk"], "shard": pdf["shard"], "df": [squeeze(x) for x in np.split(df, np.cumsum([len(x) for x in own])[:-1])]})
+        return dict(zip(("prints", "counts"), sharded(prints, bits, shards), strict=True))
 
-    answer = each.groupBy("shard").applyInPandas(frequencies, "_chunk long, shard int, df binary")
+    chunks = chunk_table(docs.withColumn("_text", text_of(text)), "_text", about, SHARDED, chunk_bytes)
+    answer = document_frequencies(chunks)
     kind = docs.schema[id].dataType.simpleString()
 
     def sign(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         table = unpack(left["docs"].iloc[0])
         doc, prints, times, n_words = shingles(_texts(table), bits)
-        right = right.sort_values("shard")
-        df = np.concatenate([unsqueeze(x) for x in right["df"]])[np.searchsorted(np.unique(prints), prints)].astype(np.float64)
+        df = frequencies_of(prints, right).astype(np.float64)
         weights = (times * (1 + np.log((n_docs + 1) / (df + 1)) / math.log(n_docs + 1))).astype(np.float32)
         n = table.num_rows
         held, shared = np.bincount(doc, minlength=n), np.bincount(doc, df > 1, minlength=n)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.llm import byte_bpe, decontaminate, kn_quality, line_dedup, mpeg_media, near_dup, secret_scan, token_counts, warc
+from rosterloom.llm import byte_bpe, decontaminate, kn_quality, line_dedup, mpeg_media, near_dup, secret_scan, suffix_dedup, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,12 @@ def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_words", "class_id", "class_size")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string"))), ",")
+    return out.select("doc_id", "n_words", "n_repeated", spans.alias("spans"), "partners")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
@@ -64,7 +70,7 @@ def op10_mpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kn_quality, op2_warc, op3_near_dup, op5_token_counts, op6_line_dedup, op7_decontaminate, op8_byte_bpe, op9_secret_scan, op10_mpeg_media)}
+    return {f.__name__: f for f in (op1_kn_quality, op2_warc, op3_near_dup, op4_suffix_dedup, op5_token_counts, op6_line_dedup, op7_decontaminate, op8_byte_bpe, op9_secret_scan, op10_mpeg_media)}
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
