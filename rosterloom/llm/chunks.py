@@ -107,6 +107,20 @@ def unrising(data: bytes) -> np.ndarray:
     return np.cumsum(unsqueeze(data), dtype=np.uint64)
 
 
+def take_rows(chunks: DataFrame, kept: DataFrame, like: DataFrame) -> DataFrame:
+    """The rows of a chunk table that `kept` (chunk, nth) names, with the columns of `like`."""
+    names = like.columns
+    keep = kept.groupBy(F.col("chunk").alias("_chunk")).agg(F.collect_list("nth").alias("keep"))
+
+    def chosen(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: [] for c in names})
+        table = unpack(left["docs"].iloc[0]).select(names)
+        return frame(table.take(pa.array(np.sort(right["keep"].iloc[0]))))
+
+    return chunks.select("chunk", "docs").groupBy("chunk").cogroup(keep.groupBy("_chunk")).applyInPandas(chosen, like.schema)
+
+
 # document frequencies -------------------------------------------------------------------------------
 
 #: Columns of a chunk table: for each shard of the fingerprint space the chunk's sorted fingerprints, and how many of its documents hold each.

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, chunk_table, document_frequencies, frame, frequencies_of, rising, sharded, unpack, unrising
+from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, chunk_table, document_frequencies, frame, frequencies_of, rising, sharded, take_rows, unpack, unrising
 from rosterloom.llm.common import chunks as pieces
 from rosterloom.llm.common import grams_of, mix, text_of, words_of, written
 from rosterloom.llm.graph import components
@@ -257,12 +257,4 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", sim
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """docs with one row of each class, and all its columns."""
     chunks, rows = near_duplicates(docs, id, text, **how)
-    keep = rows.where("stays").groupBy(F.col("chunk").alias("_chunk")).agg(F.collect_list("nth").alias("keep"))
-
-    def chosen(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({c: [] for c in docs.columns})
-        table = unpack(left["docs"].iloc[0]).select(docs.columns)
-        return frame(table.take(pa.array(np.sort(right["keep"].iloc[0]))))
-
-    return chunks.select("chunk", "docs").groupBy("chunk").cogroup(keep.groupBy("_chunk")).applyInPandas(chosen, docs.schema)
+    return take_rows(chunks, rows.where("stays"), docs)
