@@ -46,9 +46,11 @@ def _record(tipo: Column, doc: Column, name: Column, dest: Column, mesa: Column,
     return F.struct(tipo.alias("tipo"), doc.alias("documento"), name.alias("nombre"), dest.alias("destino"), mesa.cast("bigint").alias("mesa"), conf.cast("double").alias("confianza"))
 
 
-def _of_shape(x: Column, shape: str, mesa: Column | None, conf: float) -> Column:
-    part = lambda i: F.regexp_extract(x, shape, i)
-    return F.when(x.rlike(shape), _record(F.upper(part(1)), part(2), strip(part(3)), destination(part(4)), part(5) if mesa is None else mesa, F.lit(conf)))
+def shape_parts(cleaned: Column) -> Column:
+    """The number of the first shape that matches and its parts, as one array; null if none does. One replacement gives all parts of a shape."""
+    whole = [*SHAPES, RESCUE + r"[\s\S]*$"]
+    cut = lambda i, s: F.split(F.regexp_replace(cleaned, s, "\x01".join([str(i), "$1", "$2", "$3", "$4"] + ["$5"] * (i < len(SHAPES)))), "\x01")
+    return F.coalesce(*(F.when(cleaned.rlike(s), cut(i, s)) for i, s in enumerate(whole)))
 
 
 def _loose(x: Column) -> Column:
@@ -64,10 +66,18 @@ def _loose(x: Column) -> Column:
     return F.when(conf >= LEAST, _record(tipo, doc, name, dest, F.lit(0), conf))
 
 
-def cascade(cleaned: Column, carried: Column) -> Column:
-    """The record of a repaired line as a struct, null if there is none; the first shape that matches wins."""
-    tries = [_of_shape(cleaned, s, None, FULL) for s in SHAPES] + [_of_shape(cleaned, RESCUE, carried, RESCUED), _loose(cleaned)]
-    return F.when(F.length(cleaned) >= SHORTEST, F.coalesce(*tries))
+def cascade(cleaned: Column, parts: Column) -> Column:
+    """The record of a repaired line as a struct, null if there is none; a rescued one has no site yet."""
+    part = lambda i: F.get(parts, F.lit(i))
+    rescued = part(0) == str(len(SHAPES))
+    shaped = _record(F.upper(part(1)), part(2), strip(part(3)), destination(part(4)), part(5), F.when(rescued, RESCUED).otherwise(FULL))
+    return F.when(F.length(cleaned) >= SHORTEST, F.when(parts.isNotNull(), shaped).otherwise(_loose(cleaned)))
+
+
+def _read(line: Column, rules: tuple[Rule, ...]) -> Column:
+    """(cleaned, first). Lambdas bind the repaired line and its parts: named again and again, the optimizer would put the whole chain of repairs in each place."""
+    record = lambda c: F.transform(F.array(shape_parts(c)), lambda p: cascade(c, p))[0]
+    return F.transform(F.array(rewrite(line, rules)), lambda c: F.struct(c.alias("cleaned"), record(c).alias("first")))[0]
 
 
 def sanitize_lines(lines: DataFrame, rules: tuple[Rule, ...] | None = None) -> DataFrame:
@@ -86,8 +96,8 @@ def parse_lines(lines: DataFrame, rules: tuple[Rule, ...] | None = None) -> Data
     A header sets the site for the lines below, and so does each record with a site above 0; a rescued record takes it.
     What a line passes on doesn't depend on what it takes, so two passes of expressions with one window between do.
     """
-    x = sanitize_lines(lines, rules).withColumn("header", header_number(F.col("line")))
-    x = x.withColumn("first", F.when(F.col("header").isNull(), cascade(F.col("cleaned"), F.lit(None).cast("bigint"))))
+    x = lines.withColumn("header", header_number(F.col("line"))).withColumn("_line", _read(F.col("line"), rules_for("069") if rules is None else rules))
+    x = x.withColumn("cleaned", F.col("_line.cleaned")).withColumn("first", F.when(F.col("header").isNull(), F.col("_line.first")))
     own = F.when(F.col("first.mesa") > 0, F.col("first.mesa"))
     x = carry_forward(x, F.col("header"), own)
     rec = F.when(F.col("first").isNotNull(), F.col("first").withField("mesa", F.coalesce("first.mesa", "carried")))

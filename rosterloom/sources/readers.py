@@ -134,7 +134,7 @@ def collection(spark: SparkSession, fetch, schema: str) -> DataFrame:
         def schema(self):
             return schema
 
-        def reader(self, _):
+        def reader(self, schema):
             return Reader()
 
     spark.dataSource.register(Source)
