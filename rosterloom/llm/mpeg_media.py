@@ -149,17 +149,18 @@ def read_mpeg(data: bytes | None) -> Stream:
     data = data or b""
     out, parts, by_rate = Stream(), [], Counter()
     out.fields, at = _fields(data)
-    first = True
+    first, synced = True, False
     while at < len(data):
         h = _header(data, at)
-        # the header must be followed by another or the end, else the next byte is tried
-        if h is None or at + h[0] > len(data) or (at + h[0] < len(data) and _header(data, at + h[0]) is None and data[at + h[0] : at + h[0] + 3] != b"TAG"):
+        # out of step, a header must be followed by another or the end, else the next byte is tried
+        followed = h and (synced or at + h[0] == len(data) or _header(data, at + h[0]) or data[at + h[0] : at + h[0] + 3] == b"TAG")
+        if not followed or at + h[0] > len(data):
             if data[at : at + 3] == b"TAG" and len(data) - at == 128:
                 break
             nxt = data.find(b"\xff", at + 1)
             nxt = len(data) if nxt < 0 else nxt
             out.junk += nxt - at
-            at = nxt
+            at, synced = nxt, False
             continue
         length, kbits, hertz, mono, crc = h
         body = at + 4 + 2 * crc + SIDE[mono]
@@ -180,7 +181,7 @@ def read_mpeg(data: bytes | None) -> Stream:
             out.samples += SAMPLES
             by_rate[hertz] += SAMPLES
             parts.append(data[body : at + length] if good else b"")
-        first = False
+        first, synced = False, True
         at += length
     out.seconds = sum((Fraction(n, hz) for hz, n in by_rate.items()), Fraction(0))
     whole = b"".join(parts)
