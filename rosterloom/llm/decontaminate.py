@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.llm.common import WORD, col, content_key, lower_ascii, text_of
 
-#: So many distinct windows (some 100 bytes each) may be broadcast; more are joined by a shuffle.
+#: So many pairs of window and item (some 100 bytes each) may be broadcast; more are joined by a shuffle.
 BROADCAST_WINDOWS = 400_000
 
 
@@ -28,9 +28,9 @@ def words(text: Column) -> Column:
 
 
 def _windows(ws: Column, n: Column | int) -> Column:
-    """The hash of each n words in a row."""
+    """The hash of each n words in a row; none of fewer words, wherever the optimizer puts the test of their number."""
     n = F.lit(n) if isinstance(n, int) else n
-    return F.transform(F.sequence(F.lit(1), F.size(ws) - n + 1), lambda i: F.xxhash64(F.slice(ws, i, n)))
+    return F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.size(ws) - n + 1), lambda i: F.xxhash64(F.slice(ws, i, n)))).otherwise(F.array().cast("array<bigint>"))
 
 
 def benchmark_windows(bench: DataFrame, n: int, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -43,19 +43,23 @@ def benchmark_windows(bench: DataFrame, n: int, item: str = "item_id", text: str
 
 
 def window_hits(docs: DataFrame, windows: DataFrame, n: int, text: str = "text", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """_content, _pos (from 0), _n and _window of each verified hit in each distinct text."""
-    distinct = windows.select("_n", "_hash", "_window").distinct()
-    sizes = {r["_n"]: r["c"] for r in distinct.groupBy("_n").agg(F.count("*").alias("c")).collect()}  # at most n rows
+    """_content, _pos (from 0), _n and _items of each verified hit in each distinct text; each text is scanned once."""
+    distinct = windows.groupBy("_n", "_hash", "_window").agg(F.array_sort(F.collect_set("_item")).alias("__rl_items"))
+    sizes = {r["_n"]: r["c"] for r in windows.groupBy("_n").agg(F.count("*").alias("c")).collect()}  # at most n rows
     found = []
     for size in sorted(sizes) or [n]:
         own = distinct.where(F.col("_n") == size)
-        held = docs.select(content_key(text_of(text)).alias("_content"), words(text_of(text)).alias("_ws")).where(F.size("_ws") >= size)
+        held = docs.select(content_key(text_of(text)).alias("__rl_content"), words(text_of(text)).alias("_ws")).where(F.size("_ws") >= size)
         # the lambda binds the words once for all windows; named twice they would be taken from the text again for each
-        both = held.select("_content", F.transform(F.array("_ws"), lambda ws: F.struct(ws.alias("ws"), _windows(ws, size).alias("hs")))[0].alias("_both"))
-        at = both.select("_content", F.col("_both.ws").alias("_ws"), F.posexplode("_both.hs").alias("_pos", "_hash"))
-        own = F.broadcast(own) if sizes.get(size, 0) <= broadcast_windows else own
-        hit = at.join(own, "_hash").where(F.array_join(F.slice("_ws", F.col("_pos") + 1, size), " ") == F.col("_window"))
-        found.append(hit.select("_content", "_pos", "_n", "_window"))
+        both = held.select("__rl_content", F.transform(F.array("_ws"), lambda ws: F.struct(ws.alias("ws"), _windows(ws, size).alias("hs")))[0].alias("_both"))
+        at = both.select("__rl_content", F.col("_both.ws").alias("_ws"), F.posexplode("_both.hs").alias("_pos", "_hash"))
+        text_at = lambda pos: F.array_join(F.slice("_ws", pos + 1, size), " ")
+        if sizes.get(size, 0) <= broadcast_windows:
+            hit = at.join(F.broadcast(own), "_hash").where(text_at(F.col("_pos")) == F.col("_window"))
+        else:  # hashes alone are dealt out; the words are compared where the candidates come back to their text
+            near = at.drop("_ws").join(own, "_hash").groupBy("__rl_content").agg(F.collect_set(F.struct("_pos", "_n", "_window", "__rl_items")).alias("_near"))
+            hit = held.join(near, "__rl_content").select("__rl_content", "_ws", F.explode("_near").alias("x")).select("__rl_content", "_ws", "x.*").where(text_at(F.col("_pos")) == F.col("_window"))
+        found.append(hit.select("__rl_content", "_pos", "_n", "__rl_items"))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -66,21 +70,19 @@ def decontaminate(docs: DataFrame, bench: DataFrame, n: int = 10, text: str = "t
     """
     windows = benchmark_windows(bench, n, item, item_text)
     hits = window_hits(docs, windows, n, text, broadcast_windows)
-    spans = hits.groupBy("_content").agg(F.array_sort(F.collect_set(F.struct(F.col("_pos").alias("s"), (F.col("_pos") + F.col("_n")).alias("e")))).alias("_spans"))
+    found = hits.groupBy("__rl_content").agg(F.array_sort(F.collect_set(F.struct(F.col("_pos").alias("s"), (F.col("_pos") + F.col("_n")).alias("e")))).alias("__rl_spans"), F.collect_set("__rl_items").alias("__rl_items"))
     none = F.array().cast("array<struct<s:int,e:int>>")
     # touching windows run together; spans come sorted
     merged = F.aggregate(
-        "_spans",
+        "__rl_spans",
         none,
         lambda acc, x: F.when(
             (F.size(acc) > 0) & (F.element_at(acc, -1)["e"] >= x["s"]),
             F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e")))),
         ).otherwise(F.concat(acc, F.array(x))),
     )
-    items = hits.select("_content", "_n", "_window").distinct().join(windows.select("_item", "_n", "_window"), ["_n", "_window"])
-    items = items.groupBy("_content").agg(F.array_sort(F.collect_set("_item")).alias("_items"))
-    found = spans.select("_content", merged.alias("_spans")).join(items, "_content")
-    out = docs.withColumns({"_content": content_key(text_of(text)), "_count": F.size(words(text_of(text))).cast("long")}).join(found, "_content", "left")
-    n_hit = F.coalesce(F.aggregate("_spans", F.lit(0).cast("long"), lambda a, x: a + (x["e"] - x["s"])), F.lit(0).cast("long"))
-    new = {"n_words": F.col("_count"), "n_hit": n_hit, "item_ids": F.coalesce("_items", F.array().cast("array<string>")), "hit_spans": F.coalesce("_spans", none), "contaminated": n_hit > 0}
-    return out.withColumns(new).drop("_content", "_count", "_spans", "_items")
+    found = found.select("__rl_content", merged.alias("__rl_spans"), F.array_sort(F.array_distinct(F.flatten("__rl_items"))).alias("__rl_items"))
+    out = docs.withColumns({"__rl_content": content_key(text_of(text)), "__rl_count": F.size(words(text_of(text))).cast("long")}).join(found, "__rl_content", "left")
+    n_hit = F.coalesce(F.aggregate("__rl_spans", F.lit(0).cast("long"), lambda a, x: a + (x["e"] - x["s"])), F.lit(0).cast("long"))
+    new = {"n_words": F.col("__rl_count"), "n_hit": n_hit, "item_ids": F.coalesce("__rl_items", F.array().cast("array<string>")), "hit_spans": F.coalesce("__rl_spans", none), "contaminated": n_hit > 0}
+    return out.withColumns(new).drop("__rl_content", "__rl_count", "__rl_spans", "__rl_items")
