@@ -24,8 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the lines that ten or more of these documents share. A document that has nothing left goes, if it had something."""
-    out = line_dedup.dedup_lines(docs.select(COLUMNS), out="_kept").where(~((F.btrim("_kept") == "") & (F.col("n_dropped") > 0)))
+    """Without the lines that ten or more of these documents share. All documents stay, some of them empty."""
+    out = line_dedup.dedup_lines(docs.select(COLUMNS), out="_kept")
     changed = F.col("n_dropped") > 0
     return out.select("doc_id", F.when(changed, F.col("_kept")).otherwise(F.col("text")).alias("text"), "lang", "source", F.when(changed, F.char_length("_kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 

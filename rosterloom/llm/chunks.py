@@ -8,6 +8,8 @@ corpus answers can be joined to it without moving the documents again.
 
 from __future__ import annotations
 
+import ctypes
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,10 +18,20 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+#: Arrow batches of about this many bytes go to the tasks that make chunks.
+BATCH_BYTES = 4 << 20
+
+
+def give_back() -> None:
+    """Returns memory that is free in this worker, which lives on beside others, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def pack(table: pa.Table, level: int = 3) -> bytes:
@@ -38,6 +50,15 @@ def frame(table: pa.Table) -> pd.DataFrame:
     return table.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}.get)
 
 
+def texts_of(table: pa.Table, text: str) -> list[str]:
+    return [t or "" for t in table[text].to_pylist()]
+
+
+def bytes_of(table: pa.Table, text: str) -> list[bytes]:
+    """The UTF-8 of each text; a null is empty."""
+    return [t or b"" for t in table[text].cast(pa.binary()).to_pylist()]
+
+
 def runs(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.Table]:
     """The rows in runs of about `most` bytes of text; a longer text is a run of its own."""
     import pyarrow.compute as pc
@@ -47,6 +68,7 @@ def runs(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa
         table = pa.Table.from_batches([batch])
         first = own = 0
         for i, n in enumerate(pc.binary_length(table[text]).to_pylist()):
+            n = n or 0
             if size + own and size + own + n > most:
                 held.append(table.slice(first, i - first))
                 yield pa.concat_tables(held)
@@ -77,11 +99,19 @@ def chunk_table(df: DataFrame, text: str, about: Callable[[pa.Table], dict[str,
         task = TaskContext.get().partitionId()
         for n, table in enumerate(runs(batches, text, chunk_bytes)):
             columns = {"chunk": [task << 24 | n], "docs": [pack(table)]} | {k: [v] for k, v in about(table).items()}
-            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow)
+            del table
+            yield pa.RecordBatch.from_arrays([pa.array(columns.pop(f.name), type=f.type) for f in arrow], schema=arrow)
+            give_back()
 
     name = f"rosterloom_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.mapInArrow(run, types).write.option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name, format="parquet")
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, min(int(before), BATCH_BYTES) if before.isdigit() and int(before) > 0 else BATCH_BYTES)  # long texts shouldn't come in thousands
+    try:
+        df.mapInArrow(run, types).write.option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name, format="parquet")
+    finally:
+        spark.conf.set(limit, before)
     return spark.table(name)
 
 
@@ -107,6 +137,14 @@ def unrising(data: bytes) -> np.ndarray:
     return np.cumsum(unsqueeze(data), dtype=np.uint64)
 
 
+def forget(spark: SparkSession) -> int:
+    """Drops the chunk tables of this catalog, once nothing that was made from them will be read again; how many there were."""
+    names = [t.name for t in spark.catalog.listTables() if re.fullmatch(r"rosterloom_[0-9a-f]{32}", t.name)]
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+    return len(names)
+
+
 def take_rows(chunks: DataFrame, kept: DataFrame, like: DataFrame) -> DataFrame:
     """The rows of a chunk table that `kept` (chunk, nth) names, with the columns of `like`."""
     names = like.columns
@@ -114,7 +152,7 @@ def take_rows(chunks: DataFrame, kept: DataFrame, like: DataFrame) -> DataFrame:
 
     def chosen(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({c: [] for c in names})
+            return pd.DataFrame()
         table = unpack(left["docs"].iloc[0]).select(names)
         return frame(table.take(pa.array(np.sort(right["keep"].iloc[0]))))
 

@@ -123,7 +123,7 @@ def grams_of(h: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return g, at
 
 
-def chunks(texts: list[bytes], most: int = 4_000_000):
+def chunks(texts: list[bytes], most: int = 1_000_000):
     """Runs (first, last) of texts that hold about `most` bytes together, so that arrays stay small."""
     first = size = 0
     for i, t in enumerate(texts):

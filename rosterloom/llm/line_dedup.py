@@ -49,15 +49,15 @@ def repeated_lines(df: DataFrame, text: str = "text", min_docs: int = 10, min_ch
 
 def dropped_positions(df: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """For each distinct text with such lines: their sorted positions, from 0."""
-    lines = df.select(content_key(text_of(text)).alias("_content"), F.posexplode(F.split(text_of(text), "\n", -1)).alias("_pos", "_line"))
-    hashed = lines.withColumn("_key", line_key(F.col("_line"))).where(F.char_length("_key") >= max(1, min_chars)).select("_content", "_pos", *_hashes(F.col("_key")))
-    return hashed.join(repeated_lines(df, text, min_docs, min_chars), ["_h1", "_h2"]).groupBy("_content").agg(F.array_sort(F.collect_set("_pos")).alias("_bad"))
+    lines = df.select(content_key(text_of(text)).alias("__rl_content"), F.posexplode(F.split(text_of(text), "\n", -1)).alias("_pos", "_line"))
+    hashed = lines.withColumn("_key", line_key(F.col("_line"))).where(F.char_length("_key") >= max(1, min_chars)).select("__rl_content", "_pos", *_hashes(F.col("_key")))
+    return hashed.join(repeated_lines(df, text, min_docs, min_chars), ["_h1", "_h2"]).groupBy("__rl_content").agg(F.array_sort(F.collect_set("_pos")).alias("__rl_bad"))
 
 
 def dedup_lines(df: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1, out: str = "kept_text") -> DataFrame:
     """df with `out` (the text without repeated lines), n_lines (before) and n_dropped."""
     bad = dropped_positions(df, text, min_docs, min_chars)
-    lines, gone = F.split(text_of(text), "\n", -1), F.coalesce("_bad", F.array().cast("array<int>"))
+    lines, gone = F.split(text_of(text), "\n", -1), F.coalesce("__rl_bad", F.array().cast("array<int>"))
 
     def kept(arrays: Column) -> Column:
         """The runs of lines between dropped ones: as many slices as there are dropped lines and one."""
@@ -66,7 +66,7 @@ def dedup_lines(df: DataFrame, text: str = "text", min_docs: int = 10, min_chars
         end = lambda i: F.when(i == F.size(ds), F.size(ls)).otherwise(F.get(ds, i))
         return F.flatten(F.transform(F.sequence(F.lit(0), F.size(ds)), lambda i: F.slice(ls, first(i) + 1, end(i) - first(i))))
 
-    joined = df.withColumn("_content", content_key(text_of(text))).join(bad, "_content", "left")
+    joined = df.withColumn("__rl_content", content_key(text_of(text))).join(bad, "__rl_content", "left")
     whole = F.when(F.size(gone) == 0, text_of(text)).otherwise(F.array_join(F.transform(F.array(F.struct(lines.alias("ls"), gone.alias("ds"))), kept)[0], "\n"))
     new = {out: whole, "n_lines": F.size(lines).cast("long"), "n_dropped": F.size(gone).cast("long")}
-    return joined.withColumns(new).drop("_content", "_bad")
+    return joined.withColumns(new).drop("__rl_content", "__rl_bad")

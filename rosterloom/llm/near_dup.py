@@ -11,7 +11,7 @@
    `similarity` or more. Components of the links are the classes.
 
 - Words are runs of digits, letters (A-Z as a-z) and all characters outside ASCII. A document of one to four words has
-  one shingle; one without words (null, empty, signs only) is alone in its class.
+  one shingle; those without words (null, empty, signs only) are copies where their texts are equal, a null being empty.
 - Equal multisets of shingles are one content: copies cost nothing after step 2 and are never paired with each other.
 - Rows may repeat and ids be null or repeated: rows are told apart by their place in the chunk table. The class id is
   the least id of the class, null if it has none. An empty table gives no rows. Texts are whole.
@@ -23,6 +23,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, chunk_table, document_frequencies, frame, frequencies_of, rising, sharded, take_rows, unpack, unrising
+from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, bytes_of, chunk_table, document_frequencies, frame, frequencies_of, give_back, rising, sharded, take_rows, unpack, unrising
 from rosterloom.llm.common import chunks as pieces
 from rosterloom.llm.common import grams_of, mix, text_of, words_of, written
 from rosterloom.llm.graph import components
@@ -73,10 +74,6 @@ def shingles(texts: list[bytes], bits: int, n: int = SHINGLE) -> tuple[np.ndarra
     return np.concatenate(docs), np.concatenate(prints), np.concatenate(times), sizes
 
 
-def _texts(table: pa.Table) -> list[bytes]:
-    return table["_text"].cast(pa.binary()).to_pylist()
-
-
 # sampling -----------------------------------------------------------------------------------------
 
 
@@ -171,20 +168,21 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int, least: f
     """The chunk table, and for each row of each chunk: id, content, and for the first row of a content in a chunk that may have partners its bands and weights."""
     spark = docs.sparkSession
     total, n_docs = docs.agg(F.coalesce(F.sum(F.octet_length(text_of(text))), F.lit(0)), F.count("*")).first()
-    bits = min(64, 17 + max(1, math.ceil(math.log2(total / 6 + 2))))
+    bits = min(64, 17 + round(math.log2(total / 6 + 2)))
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def about(table: pa.Table) -> dict[str, list]:
-        _, prints, _, _ = shingles(_texts(table), bits)
+        _, prints, _, _ = shingles(bytes_of(table, text), bits)
         return dict(zip(("prints", "counts"), sharded(prints, bits, shards), strict=True))
 
-    chunks = chunk_table(docs.withColumn("_text", text_of(text)), "_text", about, SHARDED, chunk_bytes)
+    chunks = chunk_table(docs, text, about, SHARDED, chunk_bytes)
     answer = document_frequencies(chunks)
     kind = docs.schema[id].dataType.simpleString()
 
     def sign(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         table = unpack(left["docs"].iloc[0])
-        doc, prints, times, n_words = shingles(_texts(table), bits)
+        texts = bytes_of(table, text)
+        doc, prints, times, n_words = shingles(texts, bits)
         df = frequencies_of(prints, right).astype(np.float64)
         weights = (times * (1 + np.log((n_docs + 1) / (df + 1)) / math.log(n_docs + 1))).astype(np.float32)
         n = table.num_rows
@@ -193,7 +191,7 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int, least: f
         # a rounded sum may be a hair too small
         may = (held > 0) & ((shared >= least * held - 1e-9) | (shared_weight >= (least - 1e-4) * weight))
         starts = np.cumsum(held) - held
-        content: list[bytes | None] = [None] * n
+        content = [b"" if k else hashlib.md5(t).digest() for k, t in zip(held.tolist(), texts, strict=True)]
         two = [mix(prints * np.uint64(a) + mix(times.astype(np.uint64) + np.uint64(b))) for a, b in ((0x9E3779B97F4A7C15, 1), (0xD1B54A32D192ED03, 2))]
         some = np.flatnonzero(held)
         if len(some):
@@ -211,6 +209,7 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int, least: f
             for k, i in enumerate(some.tolist()):
                 own_bands[i], own_prints[i], own_weights[i] = hashed[k], rising(prints[starts[i] : starts[i] + held[i]]), weights[starts[i] : starts[i] + held[i]].tobytes()
         out = frame(table.select([id])).rename(columns={id: "id"})
+        give_back()
         return out.assign(chunk=left["chunk"].iloc[0], nth=np.arange(n), content=content, n_words=n_words, bands=own_bands, prints=own_prints, weights=own_weights)
 
     signed = chunks.select("chunk", "docs").groupBy("chunk").cogroup(answer.groupBy("_chunk")).applyInPandas(sign, f"chunk long, nth long, id {kind}, content binary, n_words long, bands array<long>, prints binary, weights binary")
@@ -219,12 +218,14 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int, least: f
 
 def _classes(signed: DataFrame, least: float, tile: int) -> DataFrame:
     """(content, label) of the contents that are linked with another."""
-    nodes = written(signed.where(F.col("bands").isNotNull()).dropDuplicates(["content"]).select("content", "bands", "prints", "weights"))
-    buckets = nodes.select("content", F.explode("bands").alias("bucket"))
+    may = signed.where(F.col("bands").isNotNull())
+    buckets = written(may.select("content", F.explode("bands").alias("bucket")).distinct())
     leaders = buckets.groupBy("bucket").agg(F.min("content").alias("b"), F.max("content").alias("_max")).where(F.col("b") != F.col("_max")).select("bucket", "b")
     groups = components(buckets.join(leaders, "bucket").select(F.col("content").alias("a"), "b").distinct())
     sizes = groups.groupBy("label").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    placed = nodes.join(groups.withColumnRenamed("node", "content"), "content").join(sizes, "label").withColumn("mine", F.pmod(F.xxhash64("content"), F.col("tiles")).cast("int"))
+    places = groups.join(sizes, "label").select(F.col("node").alias("content"), "label", "tiles", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("mine"))
+    # the sets are dealt out twice: by content, where copies go and places come in, and by pair of tiles
+    placed = may.select("content", "bands", "prints", "weights").dropDuplicates(["content"]).join(places, "content")
     # each content goes to the pairs of its tile and any tile of its component
     sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     sent = sent.select("label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "content", "bands", "prints", "weights")

@@ -26,7 +26,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rows = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    _, rows = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(F.col("id").alias("doc_id"), "n_words", "class_id", "class_size")
 
 

@@ -2,8 +2,8 @@
 
 A word position is retained if the hash of the `seed` words from it is the least of some `window` such hashes in a row;
 every passage of window + seed - 1 words or more holds one, at the same place wherever it occurs. Retained suffixes whose
-seed is in one document only can't be in a shared passage and are left out. The others are sorted by what follows
-(then by what precedes, read backwards), each is compared with its neighbours, the nearest suffixes of NEAR other
+seed is in one document only can't be in a shared passage and are left out. The others are sorted by what follows, and
+once more by what precedes, read backwards; each is compared with its neighbours, the nearest suffixes of NEAR other
 documents on either side, and a match is extended to both sides. Matches of `least` words or more are spans; the spans of a long passage overlap and are merged.
 
 - Words are runs of digits, letters (A-Z as a-z) and all characters outside ASCII; null, empty and short texts have no
@@ -13,8 +13,8 @@ documents on either side, and a match is extended to both sides. Matches of `lea
 - An empty table gives no rows. Other columns aren't read.
 - A seed that a third of all documents hold is sorted across range partitions; the rows at their edges are compared in
   a second step.
-- Neighbours give every match of a document that is the longest to the right of a retained position; a match that is
-  shorter there, but longer to the left, than those of 2 * NEAR other documents can be found shorter than it is.
+- Neighbours give the matches that are the longest to the right of a retained position, or to its left; a match that is
+  neither among those of 2 * NEAR other documents can be found shorter than it is.
 - Words are compared as hashes of 32 bits within sorted neighbours.
 """
 
@@ -29,9 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, chunk_table, document_frequencies, frame, frequencies_of, sharded, unpack
+from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, bytes_of, chunk_table, document_frequencies, frame, frequencies_of, give_back, sharded, unpack
 from rosterloom.llm.common import chunks as pieces
-from rosterloom.llm.common import grams_of, text_of, words_of, written
+from rosterloom.llm.common import col, grams_of, words_of, written
 
 LEAST, SEED, NEAR = 50, 8, 4
 
@@ -151,21 +151,30 @@ def _matches(sorted_rows: DataFrame, least: int) -> DataFrame:
     return sorted_rows.select(own).mapInPandas(run, _FOUND)
 
 
+def _neighbours(kept: DataFrame, order: list[str], shards: int, least: int) -> DataFrame:
+    """The matches (chunk, nth, first, last, p_chunk, p_nth) of suffixes with their neighbours in that order."""
+    found = written(_matches(kept.repartitionByRange(shards, *order).sortWithinPartitions(*order), least))
+    edges = found.where("kind = 1").select("part", *order)
+    # 2 * NEAR rows of each partition, however many rows there are
+    beside = edges.distinct().withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(lambda pdf: _spans(pdf.sort_values(order), least).astype("Int64"), "chunk long, nth long, first long, last long, p_chunk long, p_nth long")
+    return found.where("kind = 0").select("chunk", "nth", "first", "last", "p_chunk", "p_nth").union(beside)
+
+
 def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST, seed: int = SEED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """id, n_words, n_repeated (words in spans), spans (array of first and last word, the last exclusive) and partners (ids of documents found to share them) of each row."""
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     back, ahead = least - seed, least
 
     def about(table: pa.Table) -> dict[str, list]:
-        held = [np.unique(np.stack([t.astype(np.uint64), g]), axis=1)[1] for _, _, _, t, g, _ in suffixes(_texts(table), least, seed)]
+        held = [np.unique(np.stack([t.astype(np.uint64), g]), axis=1)[1] for _, _, _, t, g, _ in suffixes(bytes_of(table, text), least, seed)]
         prints = np.concatenate([np.zeros(0, np.uint64), *held])
         return dict(zip(("prints", "counts"), sharded(prints, 64, shards), strict=True))
 
-    chunks = chunk_table(docs.withColumn("_text", text_of(text)), "_text", about, SHARDED, chunk_bytes)
+    chunks = chunk_table(docs.select(*map(col, dict.fromkeys((id, text)))), text, about, SHARDED, chunk_bytes)
     answer = document_frequencies(chunks)
 
     def shared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = list(suffixes(_texts(unpack(left["docs"].iloc[0])), least, seed))
+        found = list(suffixes(bytes_of(unpack(left["docs"].iloc[0]), text), least, seed))
         prints = np.concatenate([np.zeros(0, np.uint64), *(g for *_, g, _ in found)])
         df = frequencies_of(prints, right) if len(prints) else prints
         out, done = [], 0
@@ -179,24 +188,21 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int
             after, before = _contexts(h, owner, at, 0, ahead), _contexts(h, owner, at, -1, -1 - back)
             cut = lambda x: [r.tobytes() for r in x]
             out.append(pd.DataFrame({"seed": g.view(np.int64), "after": cut(after), "before": cut(before), "chunk": left["chunk"].iloc[0], "nth": text_no[keep], "pos": at - starts}))
-        return pd.concat(out) if out else pd.DataFrame({x.split(" ")[0]: [] for x in _SUFFIX.split(", ")})
+        give_back()
+        return pd.concat(out) if out else pd.DataFrame()
 
     kind = docs.schema[id].dataType.simpleString()
 
     def sizes(left: pd.DataFrame) -> pd.DataFrame:
         table = unpack(left["docs"].iloc[0])
-        texts = _texts(table)
+        texts = bytes_of(table, text)
         n = np.concatenate([np.bincount(words_of(texts[a:b])[3], minlength=b - a) for a, b in pieces(texts)])
         return frame(table.select([id])).rename(columns={id: "id"}).assign(chunk=left["chunk"].iloc[0], nth=np.arange(len(texts)), n_words=n)
 
-    order = ["seed", "after", "before", "chunk", "nth", "pos"]
     # written first: the bounds of the ranges are sampled from it
     kept = written(chunks.select("chunk", "docs").groupBy("chunk").cogroup(answer.groupBy("_chunk")).applyInPandas(shared, _SUFFIX))
-    found = written(_matches(kept.repartitionByRange(shards, *order).sortWithinPartitions(*order), least))
-    edges = found.where("kind = 1").select("part", *order)
-    # 2 * NEAR rows of each partition, however many rows there are
-    beside = edges.distinct().withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(lambda pdf: _spans(pdf.sort_values(order), least).astype("Int64"), "chunk long, nth long, first long, last long, p_chunk long, p_nth long")
-    spans = found.where("kind = 0").select("chunk", "nth", "first", "last", "p_chunk", "p_nth").union(beside)
+    # neighbours by what follows, and by what precedes: the longest matches to the right, and to the left
+    spans = _neighbours(kept, ["seed", "after", "before", "chunk", "nth", "pos"], shards, least).unionByName(_neighbours(kept, ["seed", "before", "after", "chunk", "nth", "pos"], shards, least))
     ids = chunks.select("chunk", "docs").groupBy("chunk").applyInPandas(sizes, f"id {kind}, chunk long, nth long, n_words long")
     ids = written(ids)
     partners = spans.select("chunk", "nth", "p_chunk", "p_nth").distinct().join(ids.select(F.col("chunk").alias("p_chunk"), F.col("nth").alias("p_nth"), "id"), ["p_chunk", "p_nth"])
@@ -210,6 +216,3 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int
     none = F.array().cast(merged.schema["spans"].dataType)
     return out.select(F.col("id").alias(id), "n_words", F.coalesce("n_repeated", F.lit(0).cast("long")).alias("n_repeated"), F.coalesce("spans", none).alias("spans"), F.coalesce("partners", F.array().cast(f"array<{kind}>")).alias("partners"))
 
-
-def _texts(table: pa.Table) -> list[bytes]:
-    return table["_text"].cast(pa.binary()).to_pylist()
