@@ -5,7 +5,7 @@ positions that it applies to; merges are applied in rank order to the whole bloc
 pair are looked at again. No shuffle is needed: a lost executor costs its own blocks.
 
 - A null text is empty: no tokens. Repeated rows and ids pass row by row; ids may be null.
-- Memory: one Arrow batch of texts, its distinct words, and a memo of at most MEMO words from earlier blocks.
+- Memory: one Arrow batch of texts, the distinct words of a block of it, and a memo of at most MEMO words from earlier blocks.
 - A word of any length is handled in n log n steps; texts are never cut.
 - Columns of the input other than the id and the text don't matter and aren't read.
 """
@@ -19,14 +19,19 @@ from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
+from rosterloom.llm.chunks import give_back
+from rosterloom.llm.common import chunks as pieces
 from rosterloom.llm.common import col, text_of
 
 MEMO = 300_000
+#: Blocks of about so many characters: the index over a block's distinct words takes some hundred bytes a character.
+BLOCK = 1_000_000
 
 
 @lru_cache(maxsize=2)
@@ -137,8 +142,11 @@ def encode(df: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = coder(_local(path), pattern)
         for pdf in batches:
-            ids = [[i for word in p for i in word] for p in _in_order(c, list(pdf["text"]))]
-            yield pd.DataFrame({id: pdf["id"], "token_ids": ids})
+            texts = list(pdf["text"])
+            for a, b in pieces(texts, BLOCK):
+                ids = [np.fromiter((i for word in p for i in word), np.int32) for p in c.block(texts[a:b])]
+                yield pd.DataFrame({id: pdf["id"].iloc[a:b].reset_index(drop=True), "token_ids": ids})
+                give_back()
 
     kind = df.schema[id].dataType.simpleString()
     return df.select(col(id).alias("id"), text_of(text).alias("text")).mapInPandas(run, f"`{id}` {kind}, token_ids array<int>")
@@ -162,10 +170,12 @@ def digests(df: DataFrame, path: str, pattern: str, id: str = "doc_id", text: st
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = coder(_local(path), pattern)
         for pdf in batches:
-            rows = []
-            for p in _in_order(c, list(pdf["text"])):
-                ids = [i for word in p for i in word]
-                rows.append((len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()))
+            rows, texts = [], list(pdf["text"])
+            for a, b in pieces(texts, BLOCK):
+                for p in c.block(texts[a:b]):
+                    ids = [i for word in p for i in word]
+                    rows.append((len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()))
+                give_back()
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             out.insert(0, id, pdf["id"].values)
             yield out
@@ -174,16 +184,5 @@ def digests(df: DataFrame, path: str, pattern: str, id: str = "doc_id", text: st
     return df.select(col(id).alias("id"), text_of(text).alias("text")).mapInPandas(run, f"`{id}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def _in_order(c: Coder, texts: list[str], most: int = 8_000_000) -> Iterator[list[list[int]]]:
-    """Blocks of about `most` characters."""
-    first = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield from c.block(texts[first:i])
-            first, size = i, 0
-        size += len(t)
-    yield from c.block(texts[first:])
-
-
 def _local(path: str) -> str:
     return SparkFiles.get(path.removeprefix("files:")) if path.startswith("files:") else path
