@@ -3,15 +3,20 @@
 The model is trained on trusted text: the documents that `labels` calls good and not toxic. Each chunk of documents
 lists its distinct n-grams with their trusted counts; the counts are summed by n-gram, the model's tables (counts,
 continuation counts, context totals) are joined with the distinct n-grams of the corpus by shuffles, and each chunk gets
-the log probabilities of its own n-grams back. A document whose perplexity is above its language's quantile of the
-trusted documents is rejected.
+the log probabilities of its own n-grams back. A document whose perplexity is above the quantile of the trusted documents
+of its language and length is rejected.
 
 - The id set of the trusted documents is a sample bounded by `max_trusted` (all labelled rows if there are fewer); all
   else (counts, perplexities, quantiles) covers all documents.
 - A null or empty text has perplexity null and is accepted: nothing speaks against it. Labels of null ids, or with null
   quality, are not trusted. Rows that repeat an id are scored row by row; repeated labels count once.
-- A language (null is one of its own) with fewer than `least` trusted documents has the quantile of all languages;
-  without any trusted document all documents are accepted, with threshold null.
+- One in HELD trusted documents, by a hash of its id, is left out of the counts; the quantiles are of these alone, as
+  the model is kinder to what it has counted. Of fewer than HELD * LEAST, all are counted
+  and all are measured.
+- Short texts spread more widely than long ones: a language (null is one of its own) has a quantile for each band of
+  lengths, from each power of two to the next. From the longest down, bands are put together until they have `least`
+  documents. What is left, and a language with fewer, has the quantile of all languages at that length, put together in
+  the same way. Without any trusted document all documents are accepted, with threshold null.
 - Ties with the threshold are accepted. An empty table gives no rows. Clashing columns of `labels` don't matter: only
   its id, quality and toxic columns are read.
 """
@@ -30,14 +35,18 @@ from rosterloom.llm.chunks import CHUNK_BYTES, chunk_table, frame, give_back, ta
 from rosterloom.llm.common import col, written
 
 ORDER = 4
-TRUSTED = "__rl_trusted"
+TRUSTED, MEASURED = "__rl_trusted", "__rl_measured"
 START, END = "\x02", "\x03"
 MAX_TRUSTED = 400_000
-QUANTILE = 0.998
-#: Thresholds of so many languages may be broadcast.
-MAX_LANGS = 10_000
+QUANTILE = 0.99
+#: Trusted documents that a quantile is of, at least; one in HELD is kept for the quantiles.
+LEAST, HELD = 100, 4
+#: So many thresholds may be broadcast.
+MAX_LIMITS = 100_000
 #: Quantiles are of log perplexities in steps of this.
 STEP = 1e-4
+#: Bands of lengths: powers of two.
+BANDS = 32
 
 
 # n-grams of a chunk -------------------------------------------------------------------------------
@@ -165,10 +174,18 @@ def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED, id: str = "do
     return good if n <= max_trusted else good.where(F.pmod(F.xxhash64("__rl_id"), F.lit(1_000_000)) < int(1_000_000 * max_trusted / n))
 
 
+def held_out(good: DataFrame, least: int = LEAST) -> DataFrame:
+    """__rl_id, __rl_counted and __rl_held of each trusted id: whether it is for the counts, and for the quantiles."""
+    held = F.pmod(F.xxhash64(F.lit("held"), "__rl_id"), F.lit(HELD)) == 0
+    if good.limit(HELD * least).count() < HELD * least:
+        return good.select("__rl_id", F.lit(True).alias("__rl_counted"), F.lit(True).alias("__rl_held"))
+    return good.select("__rl_id", (~held).alias("__rl_counted"), held.alias("__rl_held"))
+
+
 def scored_chunks(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", n: int = ORDER, max_trusted: int = MAX_TRUSTED, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame]:
-    """The chunk table of docs, and for each row of each chunk (chunk, nth) its id, language, whether it is trusted, and log perplexity."""
-    good = F.broadcast(trusted_ids(labels, max_trusted, id))  # bounded by max_trusted
-    marked = docs.join(good, col(id) == F.col("__rl_id"), "left").withColumn(TRUSTED, F.col("__rl_id").isNotNull()).drop("__rl_id")
+    """The chunk table of docs, and for each row of each chunk (chunk, nth) its id, language, whether it is trusted and one of those for the quantiles, its band of lengths, and log perplexity."""
+    good = F.broadcast(held_out(trusted_ids(labels, max_trusted, id)))  # bounded by max_trusted
+    marked = docs.join(good, col(id) == F.col("__rl_id"), "left").withColumn(TRUSTED, F.coalesce("__rl_counted", F.lit(False))).withColumn(MEASURED, F.coalesce("__rl_held", F.lit(False))).drop("__rl_id", "__rl_counted", "__rl_held")
 
     def about(table: pa.Table) -> dict[str, list]:
         codes, counts, ids = distinct_grams(texts_of(table, text), table[TRUSTED].to_pylist(), n)
@@ -194,38 +211,64 @@ def scored_chunks(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
                 sums[a:b] = np.add.reduceat(values[np.searchsorted(codes, own)], first)
             lengths = np.fromiter(map(len, texts), np.int64, len(texts))
             value = np.where(lengths > 0, -sums / (lengths + 1), np.nan)
-            out.append(pd.DataFrame({"chunk": chunk, "nth": np.arange(len(texts)), "id": frame(table.select([id]))[id], "lang": table[lang].to_pandas(), "trusted": table[TRUSTED].to_pandas(), "value": value}))
+            out.append(pd.DataFrame({"chunk": chunk, "nth": np.arange(len(texts)), "id": frame(table.select([id]))[id], "lang": table[lang].to_pandas(), "trusted": table[TRUSTED].to_pandas() | table[MEASURED].to_pandas(), "measured": table[MEASURED].to_pandas(), "band": np.log2(np.maximum(lengths, 1)).astype(np.int64), "value": value}))
         give_back()
         return pd.concat(out) if out else pd.DataFrame()
 
-    scores = chunks.select("chunk", "docs").groupBy("chunk").cogroup(answer.withColumnRenamed("chunk", "_chunk").groupBy("_chunk")).applyInPandas(score, f"chunk long, nth long, id {kind}, lang string, trusted boolean, value double")
+    scores = chunks.select("chunk", "docs").groupBy("chunk").cogroup(answer.withColumnRenamed("chunk", "_chunk").groupBy("_chunk")).applyInPandas(score, f"chunk long, nth long, id {kind}, lang string, trusted boolean, measured boolean, band long, value double")
     return chunks, written(scores.withColumn("value", F.when(~F.isnan("value"), F.col("value"))))
 
 
-def thresholds(scores: DataFrame, quantile: float = QUANTILE, least: int = 100) -> DataFrame:
-    """(lang, threshold): the quantile of the trusted values of each language, by counting steps, or else that of all languages."""
-    steps = scores.where(F.col("trusted") & F.col("value").isNotNull()).groupBy("lang", F.ceil(F.col("value") / STEP).alias("step")).agg(F.count("*").alias("c"))
-
-    def of(x: DataFrame, *key: str) -> DataFrame:
-        from pyspark.sql import Window
-
-        # as many rows as steps: some ten thousand at most, however many documents there are
-        sums = x.withColumn("upto", F.sum("c").over(Window.partitionBy(*key).orderBy("step"))).withColumn("all", F.sum("c").over(Window.partitionBy(*key)))
-        return sums.where(F.col("upto") >= F.col("all") * quantile).groupBy(*key).agg((F.min("step") * STEP).alias("q"), F.max("all").alias("n"))
-
-    pooled = of(steps.groupBy("step").agg(F.sum("c").alias("c")).withColumn("_", F.lit(0)), "_").select("q").first()  # one number
-    own = of(steps, "lang").where(F.col("n") >= least).select(F.col("lang").alias("_own"), F.col("q").alias("threshold"))
-    langs = scores.select("lang").distinct()
-    all_ = F.lit(pooled["q"] if pooled else None).cast("double")
-    return langs.join(own, F.col("lang").eqNullSafe(F.col("_own")), "left").select("lang", F.coalesce("threshold", all_).alias("threshold"))
-
-
-def verdicts(scores: DataFrame, quantile: float = QUANTILE, least: int = 100) -> DataFrame:
+def banded(rows: pd.DataFrame, quantile: float, least: int, whole: bool) -> list[tuple[int, float]]:
+    """The quantile at each band of lengths, from (band, step, c). `whole`: bands that don't come to `least` join the next longer ones; else they have none."""
+    groups, own, n = [], [], 0
+    for band, c in rows.groupby("band")["c"].sum().sort_index(ascending=False).items():
+        own.append(band)
+        n += c
+        if n >= least:
+            groups.append(own)
+            own, n = [], 0
+    if own and whole:
+        groups[-1:] = [[*(groups[-1] if groups else []), *own]]
+    out, top = [], BANDS
+    for i, group in enumerate(groups):
+        x = rows[rows["band"].isin(group)].sort_values("step")
+        upto = x["c"].cumsum().to_numpy()
+        q = float(x["step"].iloc[np.searchsorted(upto, upto[-1] * quantile)]) * STEP
+        low = 0 if whole and i == len(groups) - 1 else group[-1]
+        out += [(band, q) for band in range(low, top)]
+        top = low
+    return out
+
+
+def thresholds(scores: DataFrame, quantile: float = QUANTILE, least: int = LEAST) -> DataFrame:
+    """(lang, band, threshold): the quantile of the measured values of a language at a length, by counting steps, or else that of all languages. Without a column `measured` all trusted values count, without `band` all lengths are one."""
+    band = F.col("band") if "band" in scores.columns else F.lit(0).cast("long")
+    own = F.col("measured") if "measured" in scores.columns else F.col("trusted")
+    scores = scores.select("lang", band.alias("band"), own.alias("_own"), "value")
+    # as many rows as steps: some ten thousand at most for a band, however many documents there are
+    steps = written(scores.where(F.col("_own") & F.col("value").isNotNull()).groupBy("lang", "band", F.ceil(F.col("value") / STEP).alias("step")).agg(F.count("*").alias("c")))
+
+    def of_lang(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = banded(pdf, quantile, least, False)
+        own = pd.Series([pdf["lang"].iloc[0]] * len(found), dtype=object)
+        return pd.DataFrame({"_own": own, "_band": [b for b, _ in found], "q": [q for _, q in found]}) if found else pd.DataFrame()
+
+    def of_all(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(banded(pdf, quantile, least, True), columns=["_at", "all"])
+
+    by_lang = steps.groupBy("lang").applyInPandas(of_lang, "_own string, _band long, q double")
+    pooled = steps.groupBy("band", "step").agg(F.sum("c").alias("c")).withColumn("_", F.lit(0)).groupBy("_").applyInPandas(of_all, "_at long, all double")
+    out = scores.select("lang", "band").distinct().join(by_lang, F.col("lang").eqNullSafe(F.col("_own")) & (F.col("band") == F.col("_band")), "left")
+    return out.join(F.broadcast(pooled), F.col("band") == F.col("_at"), "left").select("lang", "band", F.coalesce("q", "all").alias("threshold"))
+
+
+def verdicts(scores: DataFrame, quantile: float = QUANTILE, least: int = LEAST) -> DataFrame:
     """scores with threshold and accepted."""
-    limits = written(thresholds(scores, quantile, least).withColumnRenamed("lang", "_lang"))
-    # a third of all rows may have one language: they stay where they are, unless there are more languages than can be sent to all
-    sent = F.broadcast(limits) if limits.limit(MAX_LANGS + 1).count() <= MAX_LANGS else limits
-    out = scores.join(sent, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
+    limits = written(thresholds(scores, quantile, least).withColumnsRenamed({"lang": "_lang", "band": "_band"}))
+    # a third of all rows may have one language: they stay where they are, unless there are more limits than can be sent to all
+    sent = F.broadcast(limits) if limits.limit(MAX_LIMITS + 1).count() <= MAX_LIMITS else limits
+    out = scores.join(sent, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("band") == F.col("_band")), "left").drop("_lang", "_band")
     return out.withColumn("accepted", F.coalesce(F.col("value") <= F.col("threshold"), F.lit(True)))
 
 

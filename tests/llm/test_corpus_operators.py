@@ -1,12 +1,14 @@
 """Quality, near copies and repeated passages against brute force."""
 
 import math
+import os
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rosterloom.llm import chunks, common, kn_quality, near_dup, suffix_dedup
 from rosterloom.llm.graph import components
@@ -222,3 +224,30 @@ def test_minimisers_are_in_every_window():
 
 def test_repeats_of_nothing(spark):
     assert suffix_dedup.repeats(cases.nothing(spark)).count() == 0
+
+
+# what is rejected
+
+
+def test_quantiles_are_by_length(spark):
+    # tiny texts spread up to 3, full ones up to 2: the tail of the tiny ones doesn't set the limit of the full ones
+    rows = [(i, "en", i < 4000, i % 4 == 0 and i < 4000, 3 if i % 10 == 0 else 10, (3.0 if i % 10 == 0 else 2.0) - (i % 7) / 10) for i in range(4400)]
+    scores = spark.createDataFrame(rows, "id long, lang string, trusted boolean, measured boolean, band long, value double")
+    got = {(r["lang"], r["band"]): r["threshold"] for r in kn_quality.thresholds(scores).collect()}
+    assert got["en", 10] == pytest.approx(2.0, abs=0.01) and got["en", 3] == pytest.approx(3.0, abs=0.01)
+
+
+def test_held_out_ids_are_measured_alone(spark):
+    few, many = (kn_quality.held_out(spark.range(n).withColumnRenamed("id", "__rl_id")).collect() for n in (399, 2000))
+    assert all(r["__rl_counted"] and r["__rl_held"] for r in few)
+    assert all(r["__rl_counted"] != r["__rl_held"] for r in many) and 400 <= sum(r["__rl_held"] for r in many) <= 600
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no tables")
+def test_share_of_labelled_documents_rejected(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    out = kn_quality.classify(spark.read.parquet(f"{sf}/documents.parquet"), labels)
+    kind = F.expr("CASE WHEN quality = 1 AND toxic = 0 THEN 'clean' WHEN toxic = 1 THEN 'toxic' ELSE 'bad' END")
+    share = {r["kind"]: r["x"] for r in out.join(labels, "doc_id").groupBy(kind.alias("kind")).agg(F.avg((~F.col("accepted")).cast("int")).alias("x")).collect()}
+    assert share["bad"] >= 0.93 and share["toxic"] >= 0.4 and share["clean"] <= 0.015
