@@ -4,7 +4,10 @@ A word position is retained if the hash of the `seed` words from it is the least
 every passage of window + seed - 1 words or more holds one, at the same place wherever it occurs. Retained suffixes whose
 seed is in one document only can't be in a shared passage and are left out. The others are sorted by what follows, and
 once more by what precedes, read backwards; each is compared with its neighbours, the nearest suffixes of NEAR other
-documents on either side, and a match is extended to both sides. Matches of `least` words or more are spans; the spans of a long passage overlap and are merged.
+documents on either side, and a match is extended to both sides. Neighbours are all there is for a seed that NEAR + 1
+documents or fewer hold, each once. Around the retained positions of any other shared seed, all windows of `least` words
+are counted by their hashes, and those that two or more documents hold are matches too. Matches of `least` words or more
+are spans; the spans of a long passage overlap and are merged.
 
 - Words are runs of digits, letters (A-Z as a-z) and all characters outside ASCII; null, empty and short texts have no
   spans. Texts are whole.
@@ -13,9 +16,8 @@ documents on either side, and a match is extended to both sides. Matches of `lea
 - An empty table gives no rows. Other columns aren't read.
 - A seed that a third of all documents hold is sorted across range partitions; the rows at their edges are compared in
   a second step.
-- Neighbours give the matches that are the longest to the right of a retained position, or to its left; a match that is
-  neither among those of 2 * NEAR other documents can be found shorter than it is.
-- Words are compared as hashes of 32 bits within sorted neighbours.
+- Spans are all there are; partners are not: neighbours, and the first and the last document that hold a counted window.
+- Words are compared as hashes of 32 bits within sorted neighbours, counted windows as hashes of 64 bits.
 """
 
 from __future__ import annotations
@@ -29,11 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, bytes_of, chunk_table, document_frequencies, frame, frequencies_of, give_back, sharded, unpack
+from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, bytes_of, chunk_table, document_frequencies, frame, frequencies_of, give_back, rising, squeeze, unpack, unrising, unsqueeze
 from rosterloom.llm.common import chunks as pieces
-from rosterloom.llm.common import col, grams_of, words_of, written
+from rosterloom.llm.common import _powers, col, grams_of, mix, words_of, written
 
 LEAST, SEED, NEAR = 50, 8, 4
+#: A document that holds a seed more than once counts so much more: frequencies carry both numbers.
+TWICE = 1 << 28
 
 
 def _slide(x: np.ndarray, n: int, of: np.ufunc) -> np.ndarray:
@@ -81,6 +85,84 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
 
 
+def windows_of(h: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hashes of the n words from each position; 0 where the text ends sooner."""
+    out = np.zeros(len(h), np.uint64)
+    m = len(h) - n + 1
+    if m > 0:
+        up, down = _powers(len(h) + 1)
+        sums = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(mix(h) * up[: len(h)], out=sums[1:])
+        out[:m] = np.where(owner[:m] == owner[n - 1 :], np.maximum(mix((sums[n:] - sums[:m]) * down[:m]), np.uint64(1)), 0)
+    return out
+
+
+def seed_counts(found: list[np.ndarray], shards: int) -> tuple[list[bytes], list[bytes]]:
+    """The SHARDED columns of a chunk's seeds, given as (text, seed) of each retained position: documents, and TWICE for each that holds one more than once."""
+    prints, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for pairs in found:
+        each, times = np.unique(pairs, axis=1, return_counts=True)
+        prints.append(each[1])
+        counts.append(np.where(times > 1, TWICE + 1, 1).astype(np.uint64))
+    distinct, at = np.unique(np.concatenate(prints), return_inverse=True)
+    sums = np.bincount(at, np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)
+    edges = _cuts(distinct, shards)
+    return [rising(distinct[a:b]) for a, b in edges], [squeeze(sums[a:b]) for a, b in edges]
+
+
+def _cuts(distinct: np.ndarray, shards: int) -> list[tuple[int, int]]:
+    """Where each shard of the sorted 64-bit hashes is."""
+    at = [0, *np.searchsorted(distinct, np.array([(i << 64) // shards for i in range(1, shards)], np.uint64)).tolist(), len(distinct)]
+    return list(zip(at, at[1:]))
+
+
+def window_rows(chunk: int, held: list[tuple[np.ndarray, np.ndarray]], shards: int) -> pd.DataFrame:
+    """A row for each shard of a chunk's window hashes, given as (text, hash): how many of its texts hold each, the first and the last."""
+    nth, prints = (np.concatenate([np.zeros(0, t), *x]) for t, x in zip((np.int64, np.uint64), zip(*held))) if held else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    order = np.lexsort((nth, prints))
+    nth, prints = nth[order], prints[order]
+    first = np.flatnonzero(np.append(True, prints[1:] != prints[:-1])) if len(prints) else np.zeros(0, np.int64)
+    last = np.append(first[1:], len(prints))[: len(first)] - 1
+    distinct = prints[first]
+    new = np.append(True, (prints[1:] != prints[:-1]) | (nth[1:] != nth[:-1])) if len(prints) else np.zeros(0, bool)
+    docs = np.add.reduceat(new.astype(np.int64), first) if len(first) else first
+    own = [(i, a, b) for i, (a, b) in enumerate(_cuts(distinct, shards)) if b > a]
+    cut = lambda x: [squeeze(x[a:b]) for _, a, b in own]
+    return pd.DataFrame({"chunk": chunk, "shard": pd.Series([i for i, _, _ in own], dtype="Int64"), "prints": pd.Series([rising(distinct[a:b]) for _, a, b in own], dtype=object), "docs": pd.Series(cut(docs), dtype=object), "low": pd.Series(cut(nth[first]), dtype=object), "high": pd.Series(cut(nth[last]), dtype=object)})
+
+
+_WINDOWS = "shard long, prints binary, docs binary, low binary, high binary"
+_HELD = "_chunk long, prints binary, low_chunk binary, low binary, high_chunk binary, high binary"
+
+
+def held_windows(windows: DataFrame) -> DataFrame:
+    """For each chunk and shard the hashes of its windows that two or more documents hold, and the first and last of these. A shard is one group; shards are even, as hashes are."""
+
+    def summed(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = [unrising(x) for x in pdf["prints"]]
+        sizes = np.array([len(x) for x in own])
+        docs, low, high = (np.concatenate([unsqueeze(x) for x in pdf[c]]) for c in ("docs", "low", "high"))
+        chunk = np.repeat(pdf["chunk"].to_numpy(np.uint64), sizes)
+        prints = np.concatenate(own)
+        order = np.lexsort((chunk, prints))
+        sorted_ = prints[order]
+        first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+        last = np.append(first[1:], len(sorted_)) - 1
+        at = np.empty(len(prints), np.int64)
+        at[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(sorted_)))
+        shared = (np.add.reduceat(docs[order], first) > 1)[at]
+        a, b = order[first][at], order[last][at]
+        ends = np.cumsum(sizes)
+        out = []
+        for c, i, j in zip(pdf["chunk"], ends - sizes, ends):
+            k = np.flatnonzero(shared[i:j]) + i
+            if len(k):
+                out.append((c, rising(prints[k]), *(squeeze(x) for x in (chunk[a[k]], low[a[k]], chunk[b[k]], high[b[k]]))))
+        return pd.DataFrame(out, columns=[x.split(" ")[0] for x in _HELD.split(", ")]) if out else pd.DataFrame()
+
+    return windows.select("chunk", "shard", "prints", "docs", "low", "high").groupBy("shard").applyInPandas(summed, _HELD)
+
+
 _SUFFIX = "seed long, after binary, before binary, chunk long, nth long, pos long"
 _FOUND = "kind int, chunk long, nth long, first long, last long, p_chunk long, p_nth long, part int, seed long, after binary, before binary, pos long"
 
@@ -109,7 +191,7 @@ def _spans(rows: pd.DataFrame, least: int) -> pd.DataFrame:
         j = starts[run[i] + k]
         # and, for the rows of that document's run, the last row before it
         i, j = np.concatenate([i, ends[np.maximum(run - k, 0)] - 1]), np.concatenate([j, np.arange(n)])
-        ok = (run[i] < run[j]) & (seed[i] == seed[j])
+        ok = (run[i] < run[j]) & (seed[i] == seed[j]) & ((chunk[i] != chunk[j]) | (nth[i] != nth[j]))
         i, j = i[ok], j[ok]
         right, left = _common(after[i], after[j]), _common(before[i], before[j])
         ok = right + left >= least
@@ -166,21 +248,31 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int
     back, ahead = least - seed, least
 
     def about(table: pa.Table) -> dict[str, list]:
-        held = [np.unique(np.stack([t.astype(np.uint64), g]), axis=1)[1] for _, _, _, t, g, _ in suffixes(bytes_of(table, text), least, seed)]
-        prints = np.concatenate([np.zeros(0, np.uint64), *held])
-        return dict(zip(("prints", "counts"), sharded(prints, 64, shards), strict=True))
+        held = [np.stack([t.astype(np.uint64), g]) for _, _, _, t, g, _ in suffixes(bytes_of(table, text), least, seed)]
+        return dict(zip(("prints", "counts"), seed_counts(held, shards), strict=True))
 
     chunks = chunk_table(docs.select(*map(col, dict.fromkeys((id, text)))), text, about, SHARDED, chunk_bytes)
     answer = document_frequencies(chunks)
 
+    both = f"{_SUFFIX}, {_WINDOWS}"
+    names = [x.split(" ")[0] for x in both.split(", ")]
+    ints = {c: "Int64" for c, t in (x.split(" ") for x in both.split(", ")) if t == "long"} | {c: object for c, t in (x.split(" ") for x in both.split(", ")) if t == "binary"}
+
     def shared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = list(suffixes(bytes_of(unpack(left["docs"].iloc[0]), text), least, seed))
         prints = np.concatenate([np.zeros(0, np.uint64), *(g for *_, g, _ in found)])
         df = frequencies_of(prints, right) if len(prints) else prints
-        out, done = [], 0
+        out, held, done = [], [], 0
         for h, owner, at, text_no, g, _ in found:
-            keep = df[done : done + len(g)] > 1
+            docs, twice = df[done : done + len(g)] % TWICE, df[done : done + len(g)] // TWICE
+            keep = docs > 1
             done += len(g)
+            many = at[keep & ((docs > NEAR + 1) | (twice > 0))]
+            if len(many):  # the windows that hold one of these seeds
+                edge = np.bincount(np.maximum(many - back, 0), minlength=len(h) + 1) - np.bincount(many + 1, minlength=len(h) + 1)
+                hashes = windows_of(h, owner, least)
+                i = np.flatnonzero((np.cumsum(edge)[: len(h)] > 0) & (hashes > 0))
+                held.append((owner[i], hashes[i]))
             at, g = at[keep], g[keep]
             if not len(at):
                 continue
@@ -188,28 +280,60 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int
             after, before = _contexts(h, owner, at, 0, ahead), _contexts(h, owner, at, -1, -1 - back)
             cut = lambda x: [r.tobytes() for r in x]
             out.append(pd.DataFrame({"seed": g.view(np.int64), "after": cut(after), "before": cut(before), "chunk": left["chunk"].iloc[0], "nth": text_no[keep], "pos": at - starts}))
+        if held:
+            out.append(window_rows(left["chunk"].iloc[0], held, shards))
         give_back()
-        return pd.concat(out) if out else pd.DataFrame()
+        return pd.concat([x.reindex(columns=names).astype(ints) for x in out]) if out else pd.DataFrame()
 
     kind = docs.schema[id].dataType.simpleString()
 
-    def sizes(left: pd.DataFrame) -> pd.DataFrame:
-        table = unpack(left["docs"].iloc[0])
+    def sizes(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """Each row's words, and the spans and partners that the counted windows give it."""
+        chunk, table = left["chunk"].iloc[0], unpack(left["docs"].iloc[0])
         texts = bytes_of(table, text)
-        n = np.concatenate([np.bincount(words_of(texts[a:b])[3], minlength=b - a) for a, b in pieces(texts)])
-        return frame(table.select([id])).rename(columns={id: "id"}).assign(chunk=left["chunk"].iloc[0], nth=np.arange(len(texts)), n_words=n)
+        n, exact, mates = np.zeros(len(texts), np.int64), [[] for _ in texts], [[] for _ in texts]
+        known = np.concatenate([np.zeros(0, np.uint64), *map(unrising, right["prints"])])
+        order = np.argsort(known)
+        known = known[order]
+        ends = [np.concatenate([np.zeros(0, np.uint64), *map(unsqueeze, right[c])])[order].astype(np.int64) for c in ("low_chunk", "low", "high_chunk", "high")]
+        for a, b in pieces(texts):
+            h, _, _, owner = words_of(texts[a:b])
+            n[a:b] = np.bincount(owner, minlength=b - a)
+            if not len(known) or not len(h):
+                continue
+            hashes = windows_of(h, owner, least)
+            k = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            i = np.flatnonzero((known[k] == hashes) & (hashes > 0))
+            if not len(i):
+                continue
+            k, own = k[i], owner[i]
+            new = np.append(True, (own[1:] != own[:-1]) | (i[1:] > i[:-1] + least))
+            start, stop = i[new], np.append(i[np.flatnonzero(new)[1:] - 1], i[-1]) + least
+            begin = np.searchsorted(owner, own[new])
+            for t, x, y in zip(own[new].tolist(), (start - begin).tolist(), (stop - begin).tolist()):
+                exact[a + t].append({"first": x, "last": y})
+            low = (ends[0][k] != chunk) | (ends[1][k] != own + a)
+            other = np.stack([own, np.where(low, ends[0][k], ends[2][k]), np.where(low, ends[1][k], ends[3][k])])
+            for t, x, y in np.unique(other, axis=1).T.tolist():
+                mates[a + t].append({"p_chunk": x, "p_nth": y})
+        give_back()
+        out = frame(table.select([id])).rename(columns={id: "id"})
+        return out.assign(chunk=chunk, nth=np.arange(len(texts)), n_words=n, exact=pd.Series(exact, dtype=object), mates=pd.Series(mates, dtype=object))
 
     # written first: the bounds of the ranges are sampled from it
-    kept = written(chunks.select("chunk", "docs").groupBy("chunk").cogroup(answer.groupBy("_chunk")).applyInPandas(shared, _SUFFIX))
+    kept = written(chunks.select("chunk", "docs").groupBy("chunk").cogroup(answer.groupBy("_chunk")).applyInPandas(shared, both))
+    answered = held_windows(kept.where("shard IS NOT NULL"))
+    kept = kept.where("shard IS NULL").select(*names[: len(_SUFFIX.split(", "))])
     # neighbours by what follows, and by what precedes: the longest matches to the right, and to the left
     spans = _neighbours(kept, ["seed", "after", "before", "chunk", "nth", "pos"], shards, least).unionByName(_neighbours(kept, ["seed", "before", "after", "chunk", "nth", "pos"], shards, least))
-    ids = chunks.select("chunk", "docs").groupBy("chunk").applyInPandas(sizes, f"id {kind}, chunk long, nth long, n_words long")
+    ids = chunks.select("chunk", "docs").groupBy("chunk").cogroup(answered.groupBy("_chunk")).applyInPandas(sizes, f"id {kind}, chunk long, nth long, n_words long, exact array<struct<first: long, last: long>>, mates array<struct<p_chunk: long, p_nth: long>>")
     ids = written(ids)
-    partners = spans.select("chunk", "nth", "p_chunk", "p_nth").distinct().join(ids.select(F.col("chunk").alias("p_chunk"), F.col("nth").alias("p_nth"), "id"), ["p_chunk", "p_nth"])
+    mates = ids.select("chunk", "nth", F.inline("mates"))
+    partners = spans.select("chunk", "nth", "p_chunk", "p_nth").union(mates).distinct().join(ids.select(F.col("chunk").alias("p_chunk"), F.col("nth").alias("p_nth"), "id"), ["p_chunk", "p_nth"])
     partners = partners.groupBy("chunk", "nth").agg(F.array_sort(F.collect_set("id")).alias("partners"))
     runs = Window.partitionBy("chunk", "nth").orderBy("first", "last")
     upto = F.max("last").over(runs.rowsBetween(Window.unboundedPreceding, -1))
-    islands = spans.select("chunk", "nth", "first", "last").distinct().withColumn("_upto", upto).withColumn("_run", F.sum((F.coalesce(F.col("first") > F.col("_upto"), F.lit(True))).cast("int")).over(runs))
+    islands = spans.select("chunk", "nth", "first", "last").union(ids.select("chunk", "nth", F.inline("exact"))).distinct().withColumn("_upto", upto).withColumn("_run", F.sum((F.coalesce(F.col("first") > F.col("_upto"), F.lit(True))).cast("int")).over(runs))
     merged = islands.groupBy("chunk", "nth", "_run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     merged = merged.groupBy("chunk", "nth").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"), F.sum(F.col("last") - F.col("first")).alias("n_repeated"))
     out = ids.join(merged, ["chunk", "nth"], "left").join(partners, ["chunk", "nth"], "left")

@@ -2,6 +2,7 @@
 
 import math
 import os
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -251,3 +252,30 @@ def test_share_of_labelled_documents_rejected(spark):
     kind = F.expr("CASE WHEN quality = 1 AND toxic = 0 THEN 'clean' WHEN toxic = 1 THEN 'toxic' ELSE 'bad' END")
     share = {r["kind"]: r["x"] for r in out.join(labels, "doc_id").groupBy(kind.alias("kind")).agg(F.avg((~F.col("accepted")).cast("int")).alias("x")).collect()}
     assert share["bad"] >= 0.93 and share["toxic"] >= 0.4 and share["clean"] <= 0.015
+
+
+def own_words(pick, n):
+    return [f"w{pick.randrange(10**9)}" for _ in range(n)]
+
+
+def test_passages_around_a_common_core(spark):
+    # the retained position lies in the core that many have; the partner that shares both sides is often no neighbour
+    pick, rows = random.Random(11), []
+    for _ in range(3):
+        core, lefts, rights = own_words(pick, 30), [own_words(pick, 12) for _ in range(20)], [own_words(pick, 12) for _ in range(20)]
+        rows += [(i, " ".join([*own_words(pick, 5), *pick.choice(lefts), *core, *pick.choice(rights), *own_words(pick, 5)]), "en", "a", 1) for i in range(len(rows), len(rows) + 300)]
+    out = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA).repartition(3), chunk_bytes=50_000)
+    got = out.collect()
+    assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in got) == brute_repeats(rows)
+    assert all(bool(r["partners"]) == bool(r["n_repeated"]) and r["doc_id"] not in r["partners"] for r in got)
+
+
+def test_a_passage_twice_in_one_document_is_no_span(spark):
+    # others hold less than a span of it, and sort between its two places
+    pick, rows = random.Random(12), []
+    for _ in range(12):
+        p = own_words(pick, 60)
+        rows.append((len(rows), " ".join([*p, *own_words(pick, 30), *p, *own_words(pick, 30)]), "en", "a", 1))
+        rows += [(i, " ".join([*own_words(pick, 30), *p[15:], *own_words(pick, 30)]), "en", "a", 1) for i in range(len(rows), len(rows) + 3)]
+    out = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA))
+    assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in out.collect()) == brute_repeats(rows)
