@@ -82,7 +82,7 @@ def runs(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa
 
 
 def chunk_table(df: DataFrame, text: str, about: Callable[[pa.Table], dict[str, list]], schema: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk long, docs binary, and `schema`) of df: `about` gives the columns of `schema` for a chunk.
+    """(chunk long, docs binary, and `schema`) of df: `about` gives the columns of `schema` for a chunk, and `docs` if that is not to be the documents as they are.
 
     The chunks are fixed by being written: later steps, however often they run, see the same ones. As many buckets as
     spark.sql.shuffle.partitions, so joins on the chunk keep the table where it is.
@@ -98,7 +98,8 @@ def chunk_table(df: DataFrame, text: str, about: Callable[[pa.Table], dict[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for n, table in enumerate(runs(batches, text, chunk_bytes)):
-            columns = {"chunk": [task << 24 | n], "docs": [pack(table)]} | {k: [v] for k, v in about(table).items()}
+            own = about(table)
+            columns = {"chunk": [task << 24 | n], "docs": [own["docs"] if "docs" in own else pack(table)]} | {k: [v] for k, v in own.items() if k != "docs"}
             del table
             yield pa.RecordBatch.from_arrays([pa.array(columns.pop(f.name), type=f.type) for f in arrow], schema=arrow)
             give_back()

@@ -89,7 +89,7 @@ def test_decontaminate_nothing(spark):
 
 # byte BPE
 
-ODD = st.text(st.sampled_from("aab cdé\n\t'sß😀<|>12٣ΣİK\x85\xa0中ﬁ́"), max_size=60)
+ODD = st.text(st.sampled_from("aab cdé\n\t'sß😀<|>12٣ΣİK\x1c\x85\xa0²ǅ中ﬁ́"), max_size=60)
 
 
 @settings(max_examples=60, deadline=None)
@@ -103,21 +103,23 @@ def test_replay_is_the_library(texts):
     assert [c.decode(g) for g in got] == [t.encode() for t in texts]
 
 
-def test_replay_of_long_words_and_full_memo(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "MEMO", 3)
+def test_replay_of_long_words_and_small_blocks(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "BLOCK", 40)
     ranks = byte_bpe.ranks_of(RANKS)
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     c = byte_bpe.Coder(ranks, P.PATTERN)
-    for texts in (["a" * 5000, "xyz " * 50, "ab ac ad ae af"], ["ab zz", cases.BASE], ["ab"]):
+    for texts in (["a" * 5000, "xyz " * 50, "ab ac ad ae af"], ["ab zz", cases.BASE], ["ab"], ["na" * 32, "ab" * 31 + "!", "=-" * 40]):
         assert [[i for w in p for i in w] for p in c.block(texts)] == [enc.encode_ordinary(t) for t in texts]
 
 
-def test_encode_round_trip(spark):
+@pytest.mark.parametrize("shared", [1, 4, 10**6])
+def test_encode_round_trip(spark, shared):
     docs = cases.documents(spark, clash=True)
-    ids = byte_bpe.encode(docs, RANKS, P.PATTERN)
+    ids = byte_bpe.encode(docs, RANKS, P.PATTERN, back=True, chunk_bytes=3000, shared=shared)
+    assert Counter((r["doc_id"], r["decoded_sha256"]) for r in ids.collect()) == Counter((r[0], hashlib.sha256((r[1] or "").encode()).hexdigest()) for r in cases.ROWS)
     back = byte_bpe.decode(ids, RANKS)
     assert Counter((r["doc_id"], bytes(r["decoded"]).decode()) for r in back.collect()) == Counter((r[0], r[1] or "") for r in cases.ROWS)
-    got = byte_bpe.digests(docs, RANKS, P.PATTERN)
+    got = byte_bpe.digests(docs, RANKS, P.PATTERN, chunk_bytes=3000, shared=shared)
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.ranks_of(RANKS), special_tokens={})
     want = Counter()
     for r in cases.ROWS:
