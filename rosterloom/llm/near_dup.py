@@ -4,27 +4,32 @@
    many of its documents hold each. Shards of the fingerprint space sum these and give each chunk back the document
    frequencies of its own shingles.
 2. A shingle weighs tf * idf. Each document is sampled `bands * rows` times by improved consistent weighted sampling
-   (Ioffe, 2010); a band of samples is a bucket. Documents that share less than the threshold of their shingles or
-   their weight with any others can have no partner, which is exact, and aren't sampled.
-3. Different contents that share a bucket form candidate components. Inside a component, in tiles of at most `tile`
-   contents, pairs that share a bucket are verified: linked at a weighted (or a plain) Jaccard similarity of
-   `similarity` or more. Components of the links are the classes.
+   (Ioffe, 2010); a band of samples is a bucket. Documents that share less than the threshold of their weight with any
+   others can have no partner, which is exact, and aren't sampled.
+3. Different contents that share a bucket are verified: linked at a weighted Jaccard similarity of `similarity` or more.
+   Every content of a bucket is compared with LEADERS of its members; then those of the rest whose components still
+   differ are compared with one another, tile by tile. Components of the verified links are the classes.
 
 - Words are runs of digits, letters (A-Z as a-z) and all characters outside ASCII. A document of one to four words has
   one shingle; those without words (null, empty, signs only) are copies where their texts are equal, a null being empty.
 - Equal multisets of shingles are one content: copies cost nothing after step 2 and are never paired with each other.
 - Rows may repeat and ids be null or repeated: rows are told apart by their place in the chunk table. The class id is
-  the least id of the class, null if it has none. An empty table gives no rows. Texts are whole.
-- idf is 1 + ln((N + 1) / (df + 1)) / ln(N + 1), between 1 and 2: one rare edit doesn't outweigh shared text.
+  the least id of the class, null if it has none. An empty table gives no rows. Texts are whole. Columns may have any
+  name: `keep_one` gives them back as they were.
+- idf is 1 + IDF * ln((N + 1) / (df + 1)) / ln(N + 1): a rare edit weighs a little more than text that many share, so
+  that near copies in a large group are as near as elsewhere.
 - Fingerprints have 17 bits more than the logarithm of the number of words (64 at most), so that fewer than one in
   100,000 shingles has its frequency confused with another's.
-- No bucket or component is cut: large components are compared tile by tile.
+- No bucket is cut. A bucket of m contents costs LEADERS * m comparisons, and of those that its leaders don't link
+  one with each other member: tight groups of any size cost their size; only many unlike contents in one bucket cost
+  its square, in comparisons, and square / `tile` in rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +43,7 @@ from rosterloom.llm.common import grams_of, mix, text_of, words_of, written
 from rosterloom.llm.graph import components
 
 SHINGLE, SIMILARITY, BANDS, ROWS, TILE = 5, 0.8, 16, 3, 256
+LEADERS, IDF = 3, 0.25
 
 
 # shingles -----------------------------------------------------------------------------------------
@@ -127,38 +133,38 @@ def band_hashes(sampled: np.ndarray, bands: int, rows: int) -> np.ndarray:
 # verification -------------------------------------------------------------------------------------
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """The larger of the weighted and the plain Jaccard similarity of two sets (sorted fingerprints, weights)."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(a[1][i], b[1][j]).sum()
-    weighted = both / (a[1].sum() + b[1].sum() - both)
-    return max(weighted, len(i) / (len(a[0]) + len(b[0]) - len(i)))
-
-
-def _linked(left: pd.DataFrame, right: pd.DataFrame | None, least: float) -> list[tuple[bytes, bytes]]:
-    """Links that connect all linked pairs of left (and, if given, right): pairs already connected aren't verified."""
-    both = left if right is None else pd.concat([left, right])
-    ids = list(both["content"])
-    sets = [(unrising(p), np.frombuffer(w, np.float32)) for p, w in zip(both["prints"], both["weights"], strict=True)]
-    bands = np.array([np.asarray(x, np.int64) for x in both["bands"]])
-    root = list(range(len(ids)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    out = []
-    for i in range(len(ids)):
-        start = i + 1 if right is None else max(i + 1, len(left))
-        if right is not None and i >= len(left):
-            break
-        for j in start + np.flatnonzero((bands[start:] == bands[i]).any(axis=1)):
-            if find(i) != find(int(j)) and similarity(sets[i], sets[j]) >= least:
-                root[find(i)] = find(int(j))
-                out.append((ids[i], ids[j]))
-    return out
+Content = tuple[bytes, np.ndarray, np.ndarray, float]  # content, sorted fingerprints, weights, their sum
+
+
+def linked(a: Content, b: Content, least: float) -> bool:
+    """Whether the weighted Jaccard similarity of two contents is `least` or more."""
+    if min(a[3], b[3]) < (least - 1e-4) * max(a[3], b[3]):  # then it can't be
+        return False
+    at = np.searchsorted(b[1], a[1])
+    at[at == len(b[1])] = 0
+    same = b[1][at] == a[1]
+    both = float(np.minimum(a[2][same], b[2][at[same]]).sum())
+    return both / (a[3] + b[3] - both) >= least
+
+
+def _content(row) -> Content:
+    weights = np.frombuffer(row.weights, np.float32)
+    return row.content, unrising(row.prints), weights, float(weights.sum())
+
+
+class _Joined:
+    """Which contents are connected, by the labels that they came with and the links found since."""
+
+    def __init__(self) -> None:
+        self.root: dict = {}
+
+    def find(self, x):
+        while (up := self.root.get(x, x)) != x:
+            self.root[x] = x = self.root.get(up, up)
+        return x
+
+    def join(self, x, y) -> None:
+        self.root[self.find(x)] = self.find(y)
 
 
 # the operator -------------------------------------------------------------------------------------
@@ -184,12 +190,12 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int, least: f
         texts = bytes_of(table, text)
         doc, prints, times, n_words = shingles(texts, bits)
         df = frequencies_of(prints, right).astype(np.float64)
-        weights = (times * (1 + np.log((n_docs + 1) / (df + 1)) / math.log(n_docs + 1))).astype(np.float32)
+        weights = (times * (1 + IDF * np.log((n_docs + 1) / (df + 1)) / math.log(n_docs + 1))).astype(np.float32)
         n = table.num_rows
-        held, shared = np.bincount(doc, minlength=n), np.bincount(doc, df > 1, minlength=n)
+        held = np.bincount(doc, minlength=n)
         weight, shared_weight = np.bincount(doc, weights, minlength=n), np.bincount(doc, weights * (df > 1), minlength=n)
         # a rounded sum may be a hair too small
-        may = (held > 0) & ((shared >= least * held - 1e-9) | (shared_weight >= (least - 1e-4) * weight))
+        may = (held > 0) & (shared_weight >= (least - 1e-4) * weight)
         starts = np.cumsum(held) - held
         content = [b"" if k else hashlib.md5(t).digest() for k, t in zip(held.tolist(), texts, strict=True)]
         two = [mix(prints * np.uint64(a) + mix(times.astype(np.uint64) + np.uint64(b))) for a, b in ((0x9E3779B97F4A7C15, 1), (0xD1B54A32D192ED03, 2))]
@@ -216,27 +222,84 @@ def _signed(docs: DataFrame, id: str, text: str, bands: int, rows: int, least: f
     return chunks, written(signed)
 
 
-def _classes(signed: DataFrame, least: float, tile: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The links (a, b) among pairs (lead, content, part): a lead's set comes first in its part, its partners' sets stream past it."""
+    parts = pairs.select("lead", "part").distinct()
+    leads = parts.join(sets, F.col("lead") == F.col("content")).select("lead", "part", F.lit(0).alias("nth"), "content", "prints", "weights")
+    rest = pairs.join(sets, "content").select("lead", "part", F.lit(1).alias("nth"), "content", "prints", "weights")
+    dealt = leads.unionByName(rest).repartition("lead", "part").sortWithinPartitions("lead", "part", "nth")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lead = None
+        for pdf in batches:
+            found = []
+            for row in pdf.itertuples(index=False):
+                own = _content(row)
+                if row.nth == 0:
+                    lead = own
+                elif linked(lead, own, least):
+                    found.append((lead[0], own[0]))
+            yield pd.DataFrame(found, columns=["a", "b"])
+
+    return dealt.mapInPandas(run, "a binary, b binary")
+
+
+def _rest(held: DataFrame, labels: DataFrame, sets: DataFrame, least: float, tile: int) -> DataFrame:
+    """The links (a, b) among the members of buckets (bucket, content) that leaders haven't settled: those of different components.
+
+    Members are hosts in a tile of their bucket. Those outside the bucket's largest component visit all its tiles; two
+    visitors meet in the tile of the one whose content is larger.
+    """
+    named = held.join(labels, "content", "left").select("bucket", "content", F.coalesce("label", "content").alias("label"))
+    named = written(named)
+    sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    open_ = written(sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("most")).where("labels > 1").select("bucket", "most", F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
+    members = named.join(open_, "bucket").withColumn("guest", F.col("label") != F.col("most"))
+    hosts = members.select("bucket", F.pmod(F.xxhash64("content"), "tiles").cast("int").alias("i"), F.lit(0).alias("nth"), "content", "label", "guest")
+    guests = members.where("guest").select("bucket", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"), F.lit(1).alias("nth"), "content", "label", "guest")
+    dealt = hosts.unionByName(guests).join(sets, "content").repartition("bucket", "i").sortWithinPartitions("bucket", "i", "nth")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, hosts, known = None, [], _Joined()
+        for pdf in batches:
+            found = []
+            for row in pdf.itertuples(index=False):
+                if (row.bucket, row.i) != here:
+                    here, hosts, known = (row.bucket, row.i), [], _Joined()
+                own = _content(row)
+                if row.nth == 0:
+                    hosts.append((own, row.label, row.guest))
+                    continue
+                for other, label, guest in hosts:
+                    if guest and other[0] <= own[0] or known.find(row.label) == known.find(label):
+                        continue
+                    if linked(own, other, least):
+                        known.join(row.label, label)
+                        found.append((own[0], other[0]))
+            yield pd.DataFrame(found, columns=["a", "b"])
+
+    return dealt.mapInPandas(run, "a binary, b binary")
+
+
+def _classes(signed: DataFrame, least: float, tile: int, leaders: int = LEADERS) -> DataFrame:
     """(content, label) of the contents that are linked with another."""
     may = signed.where(F.col("bands").isNotNull())
     buckets = written(may.select("content", F.explode("bands").alias("bucket")).distinct())
-    leaders = buckets.groupBy("bucket").agg(F.min("content").alias("b"), F.max("content").alias("_max")).where(F.col("b") != F.col("_max")).select("bucket", "b")
-    groups = components(buckets.join(leaders, "bucket").select(F.col("content").alias("a"), "b").distinct())
-    sizes = groups.groupBy("label").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    places = groups.join(sizes, "label").select(F.col("node").alias("content"), "label", "tiles", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("mine"))
-    # the sets are dealt out twice: by content, where copies go and places come in, and by pair of tiles
-    placed = may.select("content", "bands", "prints", "weights").dropDuplicates(["content"]).join(places, "content")
-    # each content goes to the pairs of its tile and any tile of its component
-    sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    sent = sent.select("label", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "content", "bands", "prints", "weights")
-
-    def verify(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        found = _linked(pdf, None, least) if i == j else _linked(pdf[pdf["mine"] == i], pdf[pdf["mine"] == j], least)
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    links = sent.groupBy("label", "i", "j").applyInPandas(verify, "a binary, b binary")
-    return components(written(links)).withColumnRenamed("node", "content")
+    # different orders of the members give different first ones
+    first = lambda k: F.min(F.struct(F.xxhash64(F.lit(k), F.col("content")).alias("h"), F.col("content").alias("c")))["c"]
+    led = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.array_distinct(F.array(*map(first, range(leaders)))).alias("leads")).where("n > 1")
+    members = written(buckets.join(written(led), "bucket"))
+    pairs = members.select("content", F.explode("leads").alias("lead"), "n").where("lead <> content").groupBy("lead", "content").agg(F.max("n").alias("n"))
+    # a lead of many is in several parts
+    pairs = written(pairs.select("lead", "content", F.pmod(F.xxhash64("content"), F.ceil(F.col("n") / (16 * tile))).alias("part")))
+    sets = may.select("content", "prints", "weights").dropDuplicates(["content"])
+    links = written(_verified(pairs, sets, least))
+    labels = components(links)
+    held = members.where((F.col("n") > 2) & ~F.array_contains("leads", F.col("content"))).select("bucket", "content")
+    more = written(_rest(held, labels.withColumnRenamed("node", "content"), sets, least, tile))
+    if more.limit(1).count():
+        labels = components(links.unionByName(more))
+    return labels.withColumnRenamed("node", "content")
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, tile: int = TILE, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame]:
