@@ -33,7 +33,7 @@ def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
     spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string"))), ",")
-    return out.select("doc_id", "n_words", "n_repeated", spans.alias("spans"), "partners")
+    return out.select("doc_id", "n_words", "n_repeated", spans.alias("spans"), "class_id", "class_size")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

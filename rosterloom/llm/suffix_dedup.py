@@ -2,21 +2,24 @@
 
 A word position is retained if the hash of the `seed` words from it is the least of some `window` such hashes in a row;
 every passage of window + seed - 1 words or more holds one, at the same place wherever it occurs. Retained suffixes whose
-seed is in one document only can't be in a shared passage and are left out. The others are sorted by what follows, and
-once more by what precedes, read backwards; each is compared with its neighbours, the nearest suffixes of NEAR other
-documents on either side, and a match is extended to both sides. Neighbours are all there is for a seed that NEAR + 1
-documents or fewer hold, each once. Around the retained positions of any other shared seed, all windows of `least` words
-are counted by their hashes, and those that two or more documents hold are matches too. Matches of `least` words or more
-are spans; the spans of a long passage overlap and are merged.
+seed is in one document only can't be in a shared passage and are left out.
+
+- A seed that NEAR + 1 documents or fewer hold, each once: its suffixes are sorted by what follows, in shards of the
+  suffix array by seed; each is compared with its neighbours, which are all others of its seed, and a match is extended
+  to both sides.
+- Any other shared seed: all windows of `least` words around its places are counted by their hashes. Those that two or
+  more documents hold are matches too; each holder is linked with the first and the last one, so that they are
+  connected without listing pairs.
+
+Matches of `least` words or more are spans; the spans of a long passage overlap and are merged. Documents that share a
+span, at one or more removes, are a class.
 
 - Words are runs of digits, letters (A-Z as a-z) and all characters outside ASCII; null, empty and short texts have no
   spans. Texts are whole.
 - Rows may repeat, and ids be null or repeated: a document is a row. A passage that occurs twice in one document alone
-  isn't a span. Equal documents of `least` words or more are spans of each other.
+  isn't a span. Equal documents of `least` words or more are spans of each other. The class id is the least id of the
+  class, null if it has none; a document without spans is a class of its own. Ties don't matter: spans are sets.
 - An empty table gives no rows. Other columns aren't read.
-- A seed that a third of all documents hold is sorted across range partitions; the rows at their edges are compared in
-  a second step.
-- Spans are all there are; partners are not: neighbours, and the first and the last document that hold a counted window.
 - Words are compared as hashes of 32 bits within sorted neighbours, counted windows as hashes of 64 bits.
 """
 
@@ -27,15 +30,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterloom.llm.chunks import CHUNK_BYTES, SHARDED, bytes_of, chunk_table, document_frequencies, frame, frequencies_of, give_back, rising, squeeze, unpack, unrising, unsqueeze
 from rosterloom.llm.common import chunks as pieces
 from rosterloom.llm.common import _powers, col, grams_of, mix, words_of, written
+from rosterloom.llm.graph import components
 
-LEAST, SEED, NEAR = 50, 8, 4
+LEAST, SEED = 50, 8
+#: How many neighbours behind it a sorted suffix is compared with; seeds of more documents than one more have their windows counted.
+NEAR = 4
 #: A document that holds a seed more than once counts so much more: frequencies carry both numbers.
 TWICE = 1 << 28
 
@@ -164,86 +169,47 @@ def held_windows(windows: DataFrame) -> DataFrame:
 
 
 _SUFFIX = "seed long, after binary, before binary, chunk long, nth long, pos long"
-_FOUND = "kind int, chunk long, nth long, first long, last long, p_chunk long, p_nth long, part int, seed long, after binary, before binary, pos long"
-
-
-def _runs(rows: pd.DataFrame) -> np.ndarray:
-    """Where the rows of another document start."""
-    chunk, nth = rows["chunk"].to_numpy(np.int64), rows["nth"].to_numpy(np.int64)
-    return np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (nth[1:] != nth[:-1])))
+_MATCH = "chunk long, nth long, first long, last long, p_chunk long, p_nth long"
 
 
 def _spans(rows: pd.DataFrame, least: int) -> pd.DataFrame:
-    """The matches of sorted suffixes with the nearest ones of other documents before and behind them."""
+    """The matches of sorted suffixes with those of the same seed behind them; a pair serves both."""
     n = len(rows)
-    none = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("chunk", "nth", "first", "last", "p_chunk", "p_nth")})
-    if n < 2:
-        return none
     chunk, nth, pos, seed = (rows[c].to_numpy(np.int64) for c in ("chunk", "nth", "pos", "seed"))
     after = np.frombuffer(b"".join(rows["after"]), ">u4").reshape(n, -1)
     before = np.frombuffer(b"".join(rows["before"]), ">u4").reshape(n, -1)
-    starts = _runs(rows)
-    run = np.repeat(np.arange(len(starts)), np.diff(starts, append=n))
-    ends = np.append(starts[1:], n)
     out = []
-    for k in range(1, NEAR + 1):  # the k-th other document behind; the pair serves both
-        i = np.flatnonzero(run + k <= run[-1])
-        j = starts[run[i] + k]
-        # and, for the rows of that document's run, the last row before it
-        i, j = np.concatenate([i, ends[np.maximum(run - k, 0)] - 1]), np.concatenate([j, np.arange(n)])
-        ok = (run[i] < run[j]) & (seed[i] == seed[j]) & ((chunk[i] != chunk[j]) | (nth[i] != nth[j]))
-        i, j = i[ok], j[ok]
+    for k in range(1, NEAR + 1):
+        i = np.flatnonzero(seed[: max(n - k, 0)] == seed[k:])
+        j = i + k
         right, left = _common(after[i], after[j]), _common(before[i], before[j])
         ok = right + left >= least
         i, j, right, left = i[ok], j[ok], right[ok], left[ok]
         for x, y in ((i, j), (j, i)):
             out.append(pd.DataFrame({"chunk": chunk[x], "nth": nth[x], "first": pos[x] - left, "last": pos[x] + right, "p_chunk": chunk[y], "p_nth": nth[y]}))
-    return pd.concat(out).drop_duplicates() if out else none
+    return pd.concat(out).drop_duplicates()
 
 
-def _matches(sorted_rows: DataFrame, least: int) -> DataFrame:
-    """Spans (kind 0) of each sorted partition, and its first and last rows (kind 1)."""
-    names = [x.split(" ")[0] for x in _FOUND.split(", ")]
+def _neighbours(kept: DataFrame, least: int) -> DataFrame:
+    """The matches (_MATCH) of suffixes with their neighbours in the sorted shards of the suffix array."""
     own = [x.split(" ")[0] for x in _SUFFIX.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, held, first = TaskContext.get().partitionId(), None, True
-        ints = {c: "Int64" for c in names if c not in ("after", "before")}
-
-        def edge(rows: pd.DataFrame, ahead: bool) -> pd.DataFrame:
-            """A row of each of the first (or last) documents."""
-            at = _runs(rows)
-            at = at[:NEAR] if ahead else (np.append(at[1:], len(rows)) - 1)[-NEAR:]
-            return rows.iloc[at].assign(kind=1, part=part).reindex(columns=names).astype(ints)
-
+        held = None
         for pdf in batches:
-            if not len(pdf):
-                continue
             held = pdf if held is None else pd.concat([held, pdf])
-            if first:
-                yield edge(held, True)
-                first = False
-            yield _spans(held, least).assign(kind=0, part=part).reindex(columns=names).astype(ints)
-            # the rows of the last documents may have neighbours to come
-            at = _runs(held)
-            held = held.iloc[at[max(0, len(at) - NEAR)] :]
+            last = held["seed"].to_numpy() == held["seed"].iloc[-1]  # more of this seed may come
+            if not last.all():
+                yield _spans(held[~last], least)
+                held = held[last]
         if held is not None:
-            yield edge(held, False)
-
-    return sorted_rows.select(own).mapInPandas(run, _FOUND)
+            yield _spans(held, least)
 
-
-def _neighbours(kept: DataFrame, order: list[str], shards: int, least: int) -> DataFrame:
-    """The matches (chunk, nth, first, last, p_chunk, p_nth) of suffixes with their neighbours in that order."""
-    found = written(_matches(kept.repartitionByRange(shards, *order).sortWithinPartitions(*order), least))
-    edges = found.where("kind = 1").select("part", *order)
-    # 2 * NEAR rows of each partition, however many rows there are
-    beside = edges.distinct().withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(lambda pdf: _spans(pdf.sort_values(order), least).astype("Int64"), "chunk long, nth long, first long, last long, p_chunk long, p_nth long")
-    return found.where("kind = 0").select("chunk", "nth", "first", "last", "p_chunk", "p_nth").union(beside)
+    return kept.select(own).repartition("seed").sortWithinPartitions("seed", "after").mapInPandas(run, _MATCH)
 
 
 def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST, seed: int = SEED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """id, n_words, n_repeated (words in spans), spans (array of first and last word, the last exclusive) and partners (ids of documents found to share them) of each row."""
+    """id, n_words, n_repeated (words in spans), spans (array of first and last word, the last exclusive), class_id and class_size of each row."""
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     back, ahead = least - seed, least
 
@@ -273,6 +239,7 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int
                 hashes = windows_of(h, owner, least)
                 i = np.flatnonzero((np.cumsum(edge)[: len(h)] > 0) & (hashes > 0))
                 held.append((owner[i], hashes[i]))
+            keep &= (docs <= NEAR + 1) & (twice == 0)
             at, g = at[keep], g[keep]
             if not len(at):
                 continue
@@ -288,7 +255,7 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int
     kind = docs.schema[id].dataType.simpleString()
 
     def sizes(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Each row's words, and the spans and partners that the counted windows give it."""
+        """Each row's words, and the spans and links that the counted windows give it."""
         chunk, table = left["chunk"].iloc[0], unpack(left["docs"].iloc[0])
         texts = bytes_of(table, text)
         n, exact, mates = np.zeros(len(texts), np.int64), [[] for _ in texts], [[] for _ in texts]
@@ -320,23 +287,21 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int
         out = frame(table.select([id])).rename(columns={id: "id"})
         return out.assign(chunk=chunk, nth=np.arange(len(texts)), n_words=n, exact=pd.Series(exact, dtype=object), mates=pd.Series(mates, dtype=object))
 
-    # written first: the bounds of the ranges are sampled from it
     kept = written(chunks.select("chunk", "docs").groupBy("chunk").cogroup(answer.groupBy("_chunk")).applyInPandas(shared, both))
     answered = held_windows(kept.where("shard IS NOT NULL"))
-    kept = kept.where("shard IS NULL").select(*names[: len(_SUFFIX.split(", "))])
-    # neighbours by what follows, and by what precedes: the longest matches to the right, and to the left
-    spans = _neighbours(kept, ["seed", "after", "before", "chunk", "nth", "pos"], shards, least).unionByName(_neighbours(kept, ["seed", "before", "after", "chunk", "nth", "pos"], shards, least))
-    ids = chunks.select("chunk", "docs").groupBy("chunk").cogroup(answered.groupBy("_chunk")).applyInPandas(sizes, f"id {kind}, chunk long, nth long, n_words long, exact array<struct<first: long, last: long>>, mates array<struct<p_chunk: long, p_nth: long>>")
-    ids = written(ids)
-    mates = ids.select("chunk", "nth", F.inline("mates"))
-    partners = spans.select("chunk", "nth", "p_chunk", "p_nth").union(mates).distinct().join(ids.select(F.col("chunk").alias("p_chunk"), F.col("nth").alias("p_nth"), "id"), ["p_chunk", "p_nth"])
-    partners = partners.groupBy("chunk", "nth").agg(F.array_sort(F.collect_set("id")).alias("partners"))
+    spans = written(_neighbours(kept.where("shard IS NULL"), least))
+    ids = written(chunks.select("chunk", "docs").groupBy("chunk").cogroup(answered.groupBy("_chunk")).applyInPandas(sizes, f"id {kind}, chunk long, nth long, n_words long, exact array<struct<first: long, last: long>>, mates array<struct<p_chunk: long, p_nth: long>>"))
+    own, other = F.struct("chunk", "nth"), F.struct(F.col("p_chunk").alias("chunk"), F.col("p_nth").alias("nth"))
+    links = spans.select("chunk", "nth", "p_chunk", "p_nth").union(ids.select("chunk", "nth", F.inline("mates"))).select(own.alias("a"), other.alias("b")).distinct()
+    labels = components(links).select("node.chunk", "node.nth", "label")
+    classes = ids.select("chunk", "nth", "id").join(labels, ["chunk", "nth"])
+    best = written(classes.groupBy("label").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size")))
+    classes = classes.select("chunk", "nth", "label").join(best, "label").drop("label")
     runs = Window.partitionBy("chunk", "nth").orderBy("first", "last")
     upto = F.max("last").over(runs.rowsBetween(Window.unboundedPreceding, -1))
     islands = spans.select("chunk", "nth", "first", "last").union(ids.select("chunk", "nth", F.inline("exact"))).distinct().withColumn("_upto", upto).withColumn("_run", F.sum((F.coalesce(F.col("first") > F.col("_upto"), F.lit(True))).cast("int")).over(runs))
     merged = islands.groupBy("chunk", "nth", "_run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     merged = merged.groupBy("chunk", "nth").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans"), F.sum(F.col("last") - F.col("first")).alias("n_repeated"))
-    out = ids.join(merged, ["chunk", "nth"], "left").join(partners, ["chunk", "nth"], "left")
-    none = F.array().cast(merged.schema["spans"].dataType)
-    return out.select(F.col("id").alias(id), "n_words", F.coalesce("n_repeated", F.lit(0).cast("long")).alias("n_repeated"), F.coalesce("spans", none).alias("spans"), F.coalesce("partners", F.array().cast(f"array<{kind}>")).alias("partners"))
-
+    out = ids.join(merged, ["chunk", "nth"], "left").join(classes, ["chunk", "nth"], "left")
+    none, alone = F.array().cast(merged.schema["spans"].dataType), F.col("class_size").isNull()
+    return out.select(F.col("id").alias(id), "n_words", F.coalesce("n_repeated", F.lit(0).cast("long")).alias("n_repeated"), F.coalesce("spans", none).alias("spans"), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(1).cast("long")).otherwise(F.col("class_size")).alias("class_size"))

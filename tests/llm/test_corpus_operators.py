@@ -117,7 +117,7 @@ def brute_classes(rows, least=0.8):
 
     df = Counter(s for x in sets if x for s in x)
     n = len(rows)
-    w = lambda x: {s: c * (1 + math.log((n + 1) / (df[s] + 1)) / math.log(n + 1)) for s, c in x.items()}
+    w = lambda x: {s: c * (1 + near_dup.IDF * math.log((n + 1) / (df[s] + 1)) / math.log(n + 1)) for s, c in x.items()}
     for i in range(n):
         for j in range(i):
             if not sets[i] and not sets[j] and (rows[i][1] or "") == (rows[j][1] or ""):
@@ -125,8 +125,7 @@ def brute_classes(rows, least=0.8):
             if sets[i] and sets[j]:
                 a, b = w(sets[i]), w(sets[j])
                 both = sum(min(a[s], b[s]) for s in a.keys() & b.keys())
-                plain = len(a.keys() & b.keys()) / len(a.keys() | b.keys())
-                if max(plain, both / (sum(a.values()) + sum(b.values()) - both)) >= least:
+                if both / (sum(a.values()) + sum(b.values()) - both) >= least:
                     root[find(i)] = find(j)
     groups = defaultdict(list)
     for i in range(n):
@@ -164,6 +163,27 @@ def test_a_large_group_is_compared_in_tiles(spark):
     assert Counter(tuple(sorted(g)) for g in got.values()) == brute_classes(rows)
 
 
+def test_chained_candidates_stay_apart(spark):
+    """A chain of 5000 contents, each in a bucket with the next and unlike it: rows and comparisons follow their number."""
+    def signed(members, text):
+        rows = []
+        for i, bands in enumerate(members):
+            prints = np.sort(np.unique(np.array([hash_of(w) for w in text(i)], np.uint64)))
+            rows.append((str(i).encode(), bands, near_dup.rising(prints), np.ones(len(prints), np.float32).tobytes()))
+        return spark.createDataFrame(rows, "content binary, bands array<long>, prints binary, weights binary")
+
+    hash_of = lambda w: int(common.mix(np.array([w + 1], np.uint64))[0] >> np.uint64(8))
+    chain = near_dup._classes(signed([[i, i + 1] for i in range(5000)], lambda i: range(50 * i, 50 * i + 50)), 0.8, 256)
+    assert chain.count() == 0
+    # one bucket: 40 unlike contents, and 20 pairs of like ones that no leader joins
+    text = lambda i: range(1000 * (i % 40), 1000 * (i % 40) + 60 - (i >= 40))
+    got = near_dup._classes(signed([[7]] * 60, text), 0.8, 8, leaders=1)
+    groups = defaultdict(set)
+    for r in got.collect():
+        groups[bytes(r["label"])].add(int(r["content"]))
+    assert sorted(map(sorted, groups.values())) == [[i, i + 40] for i in range(20)]
+
+
 def test_samples_agree_as_often_as_sets_do():
     g = np.random.default_rng(3)
     prints = g.integers(0, 2**62, 400).astype(np.uint64)
@@ -182,6 +202,33 @@ def test_near_duplicates_of_nothing(spark):
 # repeated passages
 
 
+def brute_passage_classes(rows, least=50):
+    """The ids of each class of documents that share a passage, at one or more removes."""
+    root, seen = list(range(len(rows))), {}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for d, r in enumerate(rows):
+        w = words(r[1])
+        for i in range(len(w) - least + 1):
+            root[find(d)] = find(seen.setdefault(tuple(w[i : i + least]), d))
+    groups = defaultdict(list)
+    for d, r in enumerate(rows):
+        groups[find(d)].append(str(r[0]))
+    return Counter(tuple(sorted(g)) for g in groups.values())
+
+
+def classes_of(out):
+    got = defaultdict(list)
+    for i, r in enumerate(out):
+        got[r["class_id"] if r["class_size"] > 1 else ("alone", i)].append(str(r["doc_id"]))
+    assert all(len(g) == r["class_size"] for r in out for k, g in got.items() if k == r["class_id"] and r["class_size"] > 1)
+    return Counter(tuple(sorted(g)) for g in got.values())
+
+
 def brute_repeats(rows, least=50):
     where = defaultdict(set)
     ws = [words(r[1]) for r in rows]
@@ -203,8 +250,8 @@ def test_repeats(spark, clash):
     out = suffix_dedup.repeats(cases.documents(spark, clash), chunk_bytes=SMALL)
     assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in out.collect()) == brute_repeats(cases.ROWS)
     by = {r["doc_id"]: r for r in out.collect()}
-    assert [tuple(s) for s in by[5]["spans"]] == [(90, 150)] and by[5]["partners"] == [4]
-    assert set(by[1]["partners"]) >= {2}
+    assert [tuple(s) for s in by[5]["spans"]] == [(90, 150)]
+    assert classes_of(out.collect()) == brute_passage_classes(cases.ROWS)
 
 
 def test_passages_of_the_least_length_and_across_partitions(spark):
@@ -214,6 +261,22 @@ def test_passages_of_the_least_length_and_across_partitions(spark):
     assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in out.collect()) == brute_repeats(rows)
 
 
+def test_groups_and_links_beyond_the_neighbours(spark):
+    # 40 documents share a seed of 16 words; 19 have the right of document 0, 19 its left, one a shorter part of both
+    pick, core = random.Random(13), own_words(random.Random(14), 16)
+    left, right = own_words(pick, 30), own_words(pick, 30)
+    rows = [(0, [*own_words(pick, 20), *left, *core, *right])]
+    rows += [(i, [*own_words(pick, 50), *core, *right, *own_words(pick, 9)]) for i in range(1, 20)]
+    rows += [(i, [*left, *core, *own_words(pick, 40)]) for i in range(20, 39)]
+    rows += [(39, [*own_words(pick, 30), *left[-24:], *core, *right[:24], *own_words(pick, 9)])]
+    group = own_words(pick, 120)
+    rows += [(100 + i, [*own_words(pick, 3 + i), *group[i : i + 80], *own_words(pick, 5)]) for i in range(30)]
+    rows = [(i, " ".join(w), "en", "a", 1) for i, w in rows]
+    got = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA).repartition(3), chunk_bytes=4000).collect()
+    assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in got) == brute_repeats(rows)
+    assert classes_of(got) == brute_passage_classes(rows) and {r["n_repeated"] for r in got if r["doc_id"] in (0, 39)} == {64}
+
+
 def test_minimisers_are_in_every_window():
     g = np.random.default_rng(5).integers(1, 2**60, 500).astype(np.uint64)
     owner = np.repeat([0, 1], 250)
@@ -267,7 +330,7 @@ def test_passages_around_a_common_core(spark):
     out = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA).repartition(3), chunk_bytes=50_000)
     got = out.collect()
     assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in got) == brute_repeats(rows)
-    assert all(bool(r["partners"]) == bool(r["n_repeated"]) and r["doc_id"] not in r["partners"] for r in got)
+    assert all((r["class_size"] > 1) == bool(r["n_repeated"]) for r in got) and classes_of(got) == brute_passage_classes(rows)
 
 
 def test_a_passage_twice_in_one_document_is_no_span(spark):
