@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.llm import byte_bpe, decontaminate, kn_quality, line_dedup, mpeg_media, near_dup, secret_scan, suffix_dedup, token_counts, warc
+from rosterloom.llm.common import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,8 +58,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of its own for each call: what another call has scanned doesn't count here."""
     docs = table(spark, sf_dir, "documents")
-    out = secret_scan.findings(docs, secret_scan.scan_unseen(docs))
+    out = secret_scan.findings(docs, secret_scan.update(docs, f"{shared_dir(spark)}-ledger"))
     base = F.filter("found", lambda x: x["kind"].isin("assign", "access", "hex"))
     count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return out.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(secret_scan.span_text(base).cast("binary"), 256).alias("base_sha256"), secret_scan.span_text(F.col("found")).alias("spans"))

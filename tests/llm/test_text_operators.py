@@ -178,6 +178,29 @@ def test_secrets(spark):
     assert ledger.count() == len({t or "" for _, t in SECRETS}) * len(secret_scan.RULES)
 
 
+def test_stored_ledger(spark, tmp_path):
+    docs, path = spark.createDataFrame(SECRETS, "doc_id long, text string"), f"file://{tmp_path}/ledger"
+    assert secret_scan.read_ledger(spark, path) is None
+    secret_scan.update(docs.where("doc_id < 3"), path)
+    ledger = secret_scan.update(docs, path)
+    n = len({t or "" for _, t in SECRETS})
+    assert ledger.count() == n * len(secret_scan.RULES)
+    assert secret_scan.scan_unseen(docs, ledger).count() == 0 and secret_scan.update(docs, path).count() == ledger.count()
+    # a new version of a pack: its pairs alone are scanned, and the earlier one's findings don't count
+    new = {"base-2": secret_scan.RULES["base-1"], "keys-1": secret_scan.RULES["keys-1"]}
+    ledger = secret_scan.update(docs, path, new)
+    assert ledger.count() == n * 3
+    base = secret_scan.span_text(F.filter("found", lambda x: x["kind"].isin("assign", "access", "hex")))
+    for rules in (secret_scan.RULES, new):
+        assert multiset(secret_scan.findings(docs, ledger, rules), "doc_id", base) == Counter((str(i), brute_base(t)) for i, t in SECRETS)
+    doubled = ledger.unionByName(ledger)
+    assert multiset(secret_scan.findings(docs, doubled, new), "doc_id", base) == Counter((str(i), brute_base(t)) for i, t in SECRETS)
+    own = {"own-1": (secret_scan.Rule("zz", "secret"), secret_scan.Rule("aa", "se"))}
+    out = secret_scan.findings(docs, secret_scan.update(docs, path, own), own).where("doc_id = 1")
+    assert [r["s"] for r in out.select(secret_scan.span_text(F.col("found")).alias("s")).collect()] == [""]
+    assert secret_scan.update(cases.nothing(spark), f"{path}-none").count() == 0
+
+
 def test_only_unseen_pairs_are_scanned(spark):
     docs = spark.createDataFrame(SECRETS, "doc_id long, text string")
     first = secret_scan.scan_unseen(docs.where("doc_id < 3"))
