@@ -6,7 +6,7 @@ their lines are gathered for each distinct text and cut out of it in place.
 - Every row is a document: repeated rows count as documents of their own. Ids may be null or repeated; results belong
   to the text, so equal texts get equal results.
 - A null or empty text is one empty line. Empty keys are never dropped (min_chars is 1 at least).
-- If all lines go, the kept text is empty. An empty table gives an empty result.
+- If all lines go, the kept text is empty. An empty table gives an empty result. Very long texts are split whole.
 - Output columns replace input columns of the same name; all others pass unchanged.
 """
 
@@ -15,9 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.llm.common import content_key, lower_ascii, text_of
+from rosterloom.llm.common import content_key, lower_ascii, text_of, written
 
 SPACE = " \t\n\x0b\x0c\r"
+#: So many hashes of lines (16 bytes each) may be broadcast.
+MAX_SENT = 500_000
 
 
 def line_key(line: Column) -> Column:
@@ -48,10 +50,16 @@ def repeated_lines(df: DataFrame, text: str = "text", min_docs: int = 10, min_ch
 
 
 def dropped_positions(df: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """For each distinct text with such lines: their sorted positions, from 0."""
+    """For each distinct text with such lines: their sorted positions, from 0.
+
+    The hashes are broadcast up to MAX_SENT of them. They and the positions are written, so that lines or texts that very
+    many documents hold are split where they are joined.
+    """
+    hot = written(repeated_lines(df, text, min_docs, min_chars))
+    hot = F.broadcast(hot) if hot.limit(MAX_SENT + 1).count() <= MAX_SENT else hot
     lines = df.select(content_key(text_of(text)).alias("__rl_content"), F.posexplode(F.split(text_of(text), "\n", -1)).alias("_pos", "_line"))
     hashed = lines.withColumn("_key", line_key(F.col("_line"))).where(F.char_length("_key") >= max(1, min_chars)).select("__rl_content", "_pos", *_hashes(F.col("_key")))
-    return hashed.join(repeated_lines(df, text, min_docs, min_chars), ["_h1", "_h2"]).groupBy("__rl_content").agg(F.array_sort(F.collect_set("_pos")).alias("__rl_bad"))
+    return written(hashed.join(hot, ["_h1", "_h2"]).groupBy("__rl_content").agg(F.array_sort(F.collect_set("_pos")).alias("__rl_bad")))
 
 
 def dedup_lines(df: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1, out: str = "kept_text") -> DataFrame:
