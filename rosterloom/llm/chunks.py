@@ -9,7 +9,7 @@ corpus answers can be joined to it without moving the documents again.
 from __future__ import annotations
 
 import ctypes
-import re
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 8 << 20
 #: Arrow batches of about this many bytes go to the tasks that make chunks.
 BATCH_BYTES = 4 << 20
+_MADE = threading.local()
 
 
 def give_back() -> None:
@@ -105,6 +106,8 @@ def chunk_table(df: DataFrame, text: str, about: Callable[[pa.Table], dict[str,
             give_back()
 
     name = f"rosterloom_{uuid.uuid4().hex}"
+    made()
+    _MADE.names.append(name)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     limit = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(limit)
@@ -138,9 +141,15 @@ def unrising(data: bytes) -> np.ndarray:
     return np.cumsum(unsqueeze(data), dtype=np.uint64)
 
 
-def forget(spark: SparkSession) -> int:
-    """Drops the chunk tables of this catalog, once nothing that was made from them will be read again; how many there were."""
-    names = [t.name for t in spark.catalog.listTables() if re.fullmatch(r"rosterloom_[0-9a-f]{32}", t.name)]
+def made() -> int:
+    """How many chunk tables this thread has made so far."""
+    return len(vars(_MADE).setdefault("names", []))
+
+
+def forget(spark: SparkSession, since: int = 0) -> int:
+    """Drops the chunk tables that this thread has made since `made()` said so, once nothing that was made from them will be read again; how many there were."""
+    made()
+    names, _MADE.names[since:] = _MADE.names[since:], []
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS `{name}`")
     return len(names)

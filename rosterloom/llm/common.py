@@ -34,11 +34,12 @@ def lower_ascii(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; only where that is unset (tests, one machine) below the local temp folder."""
+    """A new folder below spark.checkpoint.dir, which all machines share; only a session on one machine (local) may leave that unset."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         top = "file://" + tempfile.mkdtemp(prefix="rosterloom-")
-        spark.conf.set("spark.checkpoint.dir", top) if spark.conf.isModifiable("spark.checkpoint.dir") else None
     return f"{top.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
@@ -50,12 +51,6 @@ def written(df: DataFrame, *parts: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def blocks_for(df: DataFrame, text: str, block_bytes: int) -> int:
-    """How many blocks of about block_bytes the texts fill."""
-    total = df.agg(F.sum(F.octet_length(text_of(text)))).first()[0] or 0
-    return max(1, -(-int(total) // block_bytes))
-
-
 # Word and n-gram hashing on the UTF-8 bytes of a batch of texts ---------------------------------
 
 _M1, _M2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)

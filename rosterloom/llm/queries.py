@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.llm import byte_bpe, decontaminate, kn_quality, line_dedup, mpeg_media, near_dup, secret_scan, suffix_dedup, token_counts, warc
+from rosterloom.llm.chunks import forget, made
 from rosterloom.llm.common import shared_dir
 
 
@@ -27,12 +28,16 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    since = made()
     _, rows = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    forget(spark, since)  # rows are of written tables
     return rows.select(F.col("id").alias("doc_id"), "n_words", "class_id", "class_size")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    since = made()
     out = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    forget(spark, since)
     spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string"))), ",")
     return out.select("doc_id", "n_words", "n_repeated", spans.alias("spans"), "class_id", "class_size")
 
