@@ -1,6 +1,13 @@
 """The training-data pipeline: quality, line dedup, near-dedup, decontamination, encoding.
 
 Every stage takes what its predecessor kept. All but the last return the columns of documents; n_chars follows the text.
+
+- A null text passes the quality stage (nothing speaks against it), is a copy of empty ones for near-dedup, holds no
+  benchmark window and encodes to no ids. Null ids stay; a class of copies keeps the least id, nulls last, and the first
+  of rows that repeat it. Ties with a threshold stay.
+- Rows that repeat are documents of their own until near-dedup, which keeps one. Very long texts are never cut.
+- An empty table of documents, labels or benchmark items gives what the operators say: no rows, no rejections, no hits.
+- Other columns of documents are dropped by the first stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.llm import byte_bpe, decontaminate, kn_quality, line_dedup, near_dup
+from rosterloom.llm.chunks import forget, made
+from rosterloom.llm.common import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -41,9 +50,9 @@ def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and token_ids of each document."""
-    out = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
+    """doc_id, n_tokens and token_ids of each document, and the SHA-256 of the bytes that the ids decode to."""
+    out = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, back=True)
+    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "decoded_sha256")
 
 
 STAGES = [("quality", quality), ("line_dedup", lines), ("near_dedup", near_copies), ("decontamination", clean_of_benchmarks), ("byte_bpe", encoded)]
@@ -54,10 +63,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on documents, each written to the shared folder and read again by the next."""
-    from rosterloom.llm.common import written
-
     docs = _table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        docs = written(docs) if i < len(STAGES) - 1 else docs
+    for _, stage in STAGES:
+        since = made()
+        docs = written(stage(spark, docs, sf_dir))
+        forget(spark, since)
     return docs
