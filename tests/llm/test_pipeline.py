@@ -56,8 +56,8 @@ def test_stages_of_odd_and_no_documents(spark, tmp_path):
     for docs in (cases.documents(spark, clash=True), cases.nothing(spark)):
         for _, stage in corpus_pipeline.STAGES:
             docs = common.written(stage(spark, docs, str(tmp_path)))
-        assert docs.columns == ["doc_id", "n_tokens", "token_ids"]
+        assert docs.columns == ["doc_id", "n_tokens", "token_ids", "decoded_sha256"]
 
 
 def test_run_is_the_stages(spark):
-    assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "token_ids"]
+    assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "token_ids", "decoded_sha256"]
