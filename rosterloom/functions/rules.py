@@ -91,8 +91,8 @@ WHITE = " \t\n\x0b\x0c\r"
 
 
 def rules_for(district: str | None = None) -> tuple[Rule, ...]:
-    """The base rules and, if given, a district's after them."""
-    return BASE_RULES + (DISTRICT_RULES[district] if district else ())
+    """The base rules and, if it has any, a district's after them."""
+    return BASE_RULES + DISTRICT_RULES.get(district or "", ())
 
 
 def rewrite(text: Column, rules: tuple[Rule, ...]) -> Column:

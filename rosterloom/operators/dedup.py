@@ -32,3 +32,13 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFr
 def duplicates(df: DataFrame, keys: list[str], ord: str) -> DataFrame:
     """The rows that keep_first leaves out."""
     return _ranked(df, keys, [F.col(ord)]).where(F.col("_rn") > 1).drop("_rn")
+
+
+def places(df: DataFrame, *order: str) -> DataFrame:
+    """df with its place (from 0) in a total order, by ranges and offsets: no window holds all rows."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    placed = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each partition
+    x = placed.join(F.broadcast(before), "_part").withColumn("place", F.col("_before") + F.col("_at") - 1)
+    return x.drop("_part", "_at", "_n", "_before")

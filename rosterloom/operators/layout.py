@@ -10,18 +10,23 @@ def word_rows(words: DataFrame, tolerance: int = 20) -> DataFrame:
     """words (page, ord, y) with the row of each: a row starts where y is more than `tolerance` from the row's first word.
 
     A fold over the words of a page in order of y; the anchor, not the previous word, decides, so no window can say it.
+    The fold keeps the anchors alone; a word is in the row of the last anchor up to it.
     """
-    item = F.array_sort(F.collect_list(F.struct("y", "ord")))
-    start = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.lit(-1).alias("row"), F.array().cast("array<struct<ord:bigint,row:int>>").alias("out"))
+    start = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.array().cast("array<bigint>").alias("all"))
 
     def step(acc, w):
         new = acc["anchor"].isNull() | (F.abs(w["y"] - acc["anchor"]) > tolerance)
-        row = acc["row"] + new.cast("int")
-        return F.struct(F.when(new, w["y"]).otherwise(acc["anchor"]).alias("anchor"), row.alias("row"), F.concat(acc["out"], F.array(F.struct(w["ord"].alias("ord"), row.alias("row")))).alias("out"))
+        return F.struct(F.when(new, w["y"]).otherwise(acc["anchor"]).alias("anchor"), F.when(new, F.concat(acc["all"], F.array(w["y"]))).otherwise(acc["all"]).alias("all"))
 
     typed = words.select("page", F.col("ord").cast("bigint").alias("ord"), F.col("y").cast("bigint").alias("y"))
-    rows = typed.groupBy("page").agg(F.aggregate(item, start, step)["out"].alias("_out"))
-    return rows.select("page", F.explode("_out").alias("w")).select("page", "w.ord", F.col("w.row").cast("bigint").alias("row"))
+    pages = typed.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("y", "ord"))).alias("_words"))
+    rows = pages.select("page", "_words", F.aggregate("_words", start, step)["all"].alias("_anchors")).select("page", "_anchors", F.explode("_words").alias("w"))
+    return rows.select("page", "w.ord", (F.size(F.filter("_anchors", lambda a: a <= F.col("w.y"))) - 1).cast("bigint").alias("row"))
+
+
+def reading_order(spans: DataFrame) -> DataFrame:
+    """spans (page, col, y, x, ...) with their place on the page, from 0: column by column, from above, from the left."""
+    return spans.withColumn("pos", F.row_number().over(Window.partitionBy("page").orderBy("col", "y", "x")).cast("bigint") - 1)
 
 
 def row_texts(words: DataFrame, rows: DataFrame) -> DataFrame:

@@ -57,14 +57,15 @@ def coords_fallback(entries: DataFrame, coords: DataFrame, geocoded: DataFrame)
 def nearest_site(points: DataFrame, sites: DataFrame, most: int = 10_000) -> DataFrame:
     """points (id, lat, lng) with the nearest site (mesa, ord) and its distance in km, the first of equals.
 
-    The sites, a dimension of checked size, become one array that each point folds: no row is multiplied.
+    The sites become arrays of about `most` that each point folds: with up to `most` sites, no row is multiplied; with
+    more, a point meets each array and keeps the nearest of all.
     """
-    n = sites.count()
-    if n > most:
-        raise ValueError(f"{n} sites; nearest_site takes {most} at most")
-    one = sites.agg(F.array_sort(F.collect_list(F.struct("ord", "mesa", "lat", "lng"))).alias("_sites"))
+    blocks = -(-sites.count() // most) or 1
+    arrays = sites.groupBy(F.pmod(F.xxhash64("ord"), F.lit(blocks)).alias("_b")).agg(F.array_sort(F.collect_list(F.struct("ord", "mesa", "lat", "lng"))).alias("_sites"))
     d = F.transform("_sites", lambda s: F.struct(haversine_km(F.col("lat"), F.col("lng"), s["lat"], s["lng"]).alias("km"), s["ord"].alias("ord"), s["mesa"].alias("mesa")))
-    return points.join(F.broadcast(one)).withColumn("_near", F.array_min(d)).select("id", "lat", "lng", F.col("_near.mesa").alias("mesa"), F.col("_near.km").alias("km"))
+    met = points.join(F.broadcast(arrays) if blocks == 1 else arrays).select("id", "lat", "lng", F.array_min(d).alias("_near"))
+    met = met if blocks == 1 else met.groupBy("id", "lat", "lng").agg(F.min("_near").alias("_near"))
+    return met.select("id", "lat", "lng", F.col("_near.mesa").alias("mesa"), F.col("_near.km").alias("km"))
 
 
 def fill_first_match(entries: DataFrame, updates: DataFrame, key: str, value: str) -> DataFrame:

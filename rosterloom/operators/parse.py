@@ -5,8 +5,6 @@ A line is (page, pos, line). All of it is column expressions; the context is a w
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,22 +12,17 @@ from rosterloom.functions.numbers import percent
 from rosterloom.functions.rules import Rule, rewrite, rules_for
 from rosterloom.functions.text import clean_name, destination, header_number, strip
 
-# The shapes of a record, the most exact first, with (type, document, name, destination, site).
-_WHO = r"^(DNI|L[CE])\.?\s+(\d{4,9})\.?\s+(.+?)"
-_SITE = r"\s+(\d{1,4})[\s\S]*$"
-SHAPES = tuple(
-    f"(?i){_WHO}{x}{_SITE}"
-    for x in (
-        r"\s+([\d]-[\d]{2,3}-[A-Z]{2}-[\d]{3,4})",
-        r"\s+([O\d]-[O\d]{2,3}-[A-Z\d]{2}-[O\d]{3,4})",
-        r"\s{2,}(JUBILAD\S*/?\s*A)",
-        r"\s{2,}(AP\.?\s*EN\s*SEDE)",
-        r"\s{2,}(TITULAR|SUPLENTE)",
-        r"\s{2,}([A-Z][A-Z\s./]{2,}?)",
-        r"\s+(JUBILAD\S*/?\s*A|AP\.?\s*EN\s*SEDE)",
-    )
+# The shapes of a record, the most exact first, with (type, document, name, destination, site); a rescued one has no site.
+SHAPES = (
+    r"(?i)^(DNI|L[CE])\.?\s+(\d{4,9})\.?\s+(.+?)\s+([\d]-[\d]{2,3}-[A-Z]{2}-[\d]{3,4})\s+(\d{1,4})[\s\S]*$",
+    r"(?i)^(DNI|L[CE])\.?\s+(\d{4,9})\.?\s+(.+?)\s+([O\d]-[O\d]{2,3}-[A-Z\d]{2}-[O\d]{3,4})\s+(\d{1,4})[\s\S]*$",
+    r"(?i)^(DNI|L[CE])\.?\s+(\d{4,9})\.?\s+(.+?)\s{2,}(JUBILAD\S*/?\s*A)\s+(\d{1,4})[\s\S]*$",
+    r"(?i)^(DNI|L[CE])\.?\s+(\d{4,9})\.?\s+(.+?)\s{2,}(AP\.?\s*EN\s*SEDE)\s+(\d{1,4})[\s\S]*$",
+    r"(?i)^(DNI|L[CE])\.?\s+(\d{4,9})\.?\s+(.+?)\s{2,}(TITULAR|SUPLENTE)\s+(\d{1,4})[\s\S]*$",
+    r"(?i)^(DNI|L[CE])\.?\s+(\d{4,9})\.?\s+(.+?)\s{2,}([A-Z][A-Z\s./]{2,}?)\s+(\d{1,4})[\s\S]*$",
+    r"(?i)^(DNI|L[CE])\.?\s+(\d{4,9})\.?\s+(.+?)\s+(JUBILAD\S*/?\s*A|AP\.?\s*EN\s*SEDE)\s+(\d{1,4})[\s\S]*$",
 )
-RESCUE = rf"(?i){_WHO}\s+(JUBILAD\S*/?\s*\S*|AP\.?\s*EN\s*SEDE|[\dO]-[\dO]{{2,3}}-[A-Z\d]{{2}}-[\dO]{{3,4}})"
+RESCUE = r"(?i)^(DNI|L[CE])\.?\s+(\d{4,9})\.?\s+(.+?)\s+(JUBILAD\S*/?\s*\S*|AP\.?\s*EN\s*SEDE|[\dO]-[\dO]{2,3}-[A-Z\d]{2}-[\dO]{3,4})"
 PARTIAL = r"(?i)^(DNI|L[CE])\s+\d"
 LOOSE_ID, LOOSE_CODE, LOOSE_NAME = r"\b(\d{7,8})\b", r"(0-0\d{2}-[A-Z]{1,2}-\d{4})", r"([A-ZÁÉÍÓÚÑ][A-ZÁÉÍÓÚÑ\s.]{4,})"
 #: Confidence of a full match, of a rescued one, and the parts of a loose one.
@@ -84,10 +77,23 @@ def sanitize_lines(lines: DataFrame, rules: tuple[Rule, ...] | None = None) -> D
     return lines.withColumn("cleaned", rewrite(F.col("line"), rules_for("069") if rules is None else rules))
 
 
-def carry_forward(lines: DataFrame, *update: Column, keys: tuple[str, ...] = ("page",), default: int = 1, name: str = "carried") -> DataFrame:
-    """The last update above each line of its page, a default before any. One page is one window: pages, not files, are dealt out."""
-    w = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return lines.withColumn(name, F.coalesce(F.last(F.coalesce(*update), ignorenulls=True).over(w), F.lit(default).cast("bigint")))
+def carry_forward(lines: DataFrame, *update: Column, keys: tuple[str, ...] = ("page",), order: tuple[str, ...] = ("pos",), default: int | str = 1, name: str = "carried", own: bool = False) -> DataFrame:
+    """The last update above each line (with `own` its own, too) of its page, a default before any. One page is one window: pages, not files, are dealt out."""
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    first = F.lit(default).cast("bigint") if isinstance(default, int) else F.lit(default)
+    return lines.withColumn(name, F.coalesce(F.last(F.coalesce(*update), ignorenulls=True).over(w), first))
+
+
+def carry_across_pages(lines: DataFrame, headers: DataFrame, default: int = 1) -> DataFrame:
+    """lines (file, page, pos, mesa or null) with the site carried to each through its whole file: a page's header (file, page, mesa) holds before its first line, and every record sets the site, to 0 too. One file is one window."""
+    above = headers.select("file", "page", F.lit(-1).cast("bigint").alias("pos"), "mesa")
+    both = carry_forward(lines.select("file", "page", "pos", "mesa").unionByName(above), F.col("mesa"), keys=("file",), order=("page", "pos"), default=default)
+    return both.where("pos >= 0")
+
+
+def sections(lines: DataFrame, name: Column) -> DataFrame:
+    """lines (file, page, pos, ...) with the section (the last name on its own or an earlier line of the file, else blank)."""
+    return carry_forward(lines, name, keys=("file",), order=("page", "pos"), default="", name="section", own=True)
 
 
 def parse_lines(lines: DataFrame, rules: tuple[Rule, ...] | None = None) -> DataFrame:
@@ -136,7 +142,3 @@ def page_quality(recs: DataFrame, expected: int = 60) -> DataFrame:
 def best_rotation(texts: DataFrame) -> DataFrame:
     """The rotation of the highest score of each image among those with a page, the first of equals (texts: image, rotation, ord, score, page)."""
     return texts.where(F.col("page") > 0).groupBy("image").agg(F.max_by("rotation", F.struct("score", -F.col("ord"))).alias("rotation"))
-
-
-def any_of(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.functions.ratio import sequence_ratio
 from rosterloom.functions.text import better_name, has_problem_note, id_plain
-from rosterloom.operators.dedup import keep_first, keep_last
+from rosterloom.operators.dedup import keep_first, keep_last, places
+
+
+#: Which fields of a row were taken from the control roll.
+CHANGED = ("nombre_nuevo", "escuela_nueva", "pagina_nueva")
 
 
 def survive(base: DataFrame, control: DataFrame) -> DataFrame:
@@ -19,7 +23,7 @@ def survive(base: DataFrame, control: DataFrame) -> DataFrame:
     one = lambda x, s: keep_first(x, ["dni"], "ord").select("dni", *(F.col(c).alias(f"{c}_{s}") for c in x.columns if c != "dni"))
     both = one(a, "a").join(one(b, "b"), "dni")
     # ids once on the other side: the anti joins don't multiply rows
-    alone = lambda x, y, s: x.join(y.select("dni").distinct(), "dni", "left_anti").select("dni", "nombre", "escuela", "pagina", "observacion", "confirmada", F.lit(s).alias("fuente"), F.lit("").alias("conflicto"), F.lit(0).cast("bigint").alias("cambios"))
+    alone = lambda x, y, s: x.join(y.select("dni").distinct(), "dni", "left_anti").select("dni", "nombre", "escuela", "pagina", "observacion", "confirmada", F.lit(s).alias("fuente"), F.lit("").alias("conflicto"), F.lit(0).cast("bigint").alias("cambios"), *(F.lit(False).alias(c) for c in CHANGED))
     return _best(both).unionByName(alone(a, b, "base")).unionByName(alone(b, a, "control"))
 
 
@@ -43,6 +47,7 @@ def _best(both: DataFrame) -> DataFrame:
         F.lit("ambos").alias("fuente"),
         F.when(differ & (bad1 == bad2), F.concat(e1, F.lit(" vs "), e2)).otherwise("").alias("conflicto"),
         (name.cast("bigint") + school.cast("bigint") + page.cast("bigint")).alias("cambios"),
+        *(x.alias(c) for c, x in zip(CHANGED, (name, school, page), strict=True)),
     )
 
 
@@ -54,6 +59,8 @@ def survive_stats(survived: DataFrame) -> DataFrame:
         one(F.col("fuente") == "base").alias("solo_base"),
         one(F.col("fuente") == "control").alias("solo_control"),
         one(F.col("cambios") > 0).alias("con_cambios"),
+        one((F.col("fuente") == "ambos") & (F.col("cambios") == 0)).alias("sin_cambios"),
+        *(one(F.col(c)).alias(n) for c, n in zip(CHANGED, ("nombres_completados", "escuelas_completadas", "paginas_corregidas"), strict=True)),
         one(F.col("conflicto") != "").alias("conflictos"),
     )
 
@@ -134,4 +141,5 @@ def hybrid_roll(now: DataFrame, past: DataFrame) -> DataFrame:
 
 
 def ordinals(df: DataFrame, *order: str) -> DataFrame:
-    return df.withColumn("ord", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    """df with its place in that order, from 1: numbered before rows are left out, those leave gaps."""
+    return places(df, *order).withColumn("ord", F.col("place") + 1).drop("place")

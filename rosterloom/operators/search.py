@@ -54,6 +54,10 @@ def typeahead(options: DataFrame, label: str, q: str, n: int = 50) -> DataFrame:
     return hit.orderBy(label).limit(n).join(F.broadcast(more))
 
 
+def first_results(found: DataFrame, order: str, n: int = 10) -> DataFrame:
+    return found.orderBy(order).limit(n)
+
+
 def unless_many(found: DataFrame, most: int = 100) -> DataFrame:
     """found, or nothing if it has more than `most` rows; no more than most + 1 of them are gathered."""
     few = found.limit(most + 1)
@@ -65,8 +69,9 @@ def distinct_codes(site_codes: DataFrame) -> DataFrame:
     return site_codes.select(F.explode("codes").alias("code")).distinct().orderBy("code")
 
 
-def page_range(df: DataFrame, spec: str, page: str = "page") -> DataFrame:
-    """'a-b' or 'n', from 1."""
+def page_range(df: DataFrame, spec: str, page: str = "page", last: int | None = None) -> DataFrame:
+    """'a-b' or 'n', from 1; an end behind the last page is that page."""
     a, _, b = spec.partition("-")
     first = max(1, int(a))
-    return df.where(F.col(page).between(first, int(b) if b else first))
+    end = int(b) if b else first
+    return df.where(F.col(page).between(first, min(end, last) if b and last is not None else end))

@@ -44,3 +44,19 @@ def page_nested(roster: DataFrame) -> DataFrame:
 def nested_counts(nested: DataFrame) -> DataFrame:
     count = lambda f: F.size(F.filter("registros", f)).cast("bigint")
     return nested.select("pagina", "confirmada", F.size("registros").cast("bigint").alias("n"), count(lambda r: r["dni"] == "").alias("sin_dni"), count(lambda r: r["escuela"] == "JUBILADO/A").alias("jubilados"), count(lambda r: r["escuela"] == "AP. EN SEDE").alias("en_sede"))
+
+
+def first_names(df: DataFrame, key: str, name: str, ord: str) -> DataFrame:
+    """The first name of each key, sorted by key."""
+    return df.groupBy(key).agg(F.min_by(name, ord).alias(name)).orderBy(key)
+
+
+def top_categories(df: DataFrame, category: str, ord: str, k: int = 10) -> DataFrame:
+    """The k most frequent categories with their counts, the first met of equals."""
+    n = df.groupBy(category).agg(F.count("*").alias("n"), F.min(ord).alias("_first"))
+    return n.orderBy(F.desc("n"), "_first").limit(k).drop("_first")
+
+
+def distinct_but(df: DataFrame, column: str, *excluded) -> DataFrame:
+    """One row: how many values a column has, without those excluded."""
+    return df.agg(F.count_distinct(F.when(~F.col(column).isin(*excluded), F.col(column))).alias("n"))

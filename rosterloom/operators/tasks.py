@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.functions.numbers import half_even
 from rosterloom.functions.text import codes_match, names_match
-from rosterloom.operators.dedup import keep_last, top_n
+from rosterloom.operators.dedup import keep_last, places, top_n
 
 
 def priorities(scanned: DataFrame, roll: DataFrame) -> DataFrame:
@@ -76,16 +76,22 @@ def sample_top_n(images: DataFrame, group: str, order: list[Column], n: int) ->
 
 
 def chunked(df: DataFrame, order: str, size: int = 500) -> DataFrame:
-    """df with the number of its write batch: places in a total order by ranges and offsets, without a window over all rows."""
-    ranged = df.repartitionByRange(order).sortWithinPartitions(order).withColumn("_part", F.spark_partition_id())
-    placed = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each partition
-    x = placed.join(F.broadcast(before), "_part").withColumn("place", F.col("_before") + F.col("_at") - 1)
-    return x.withColumn("batch", F.floor(F.col("place") / size).cast("bigint")).drop("_part", "_at", "_n", "_before")
+    """df with its place in a total order and the number of its write batch."""
+    return places(df, order).withColumn("batch", F.floor(F.col("place") / size).cast("bigint"))
 
 
 def strategy_ranking(lines: DataFrame) -> DataFrame:
     """Strategies (strategy, useful) by useful lines."""
     n = lines.groupBy("strategy").agg(F.count_if("useful").alias("useful"), F.count("*").alias("lines"))
-    return n.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("useful"), "strategy")).cast("bigint"))
+    return places(n.withColumn("_less", -F.col("useful")), "_less", "strategy").withColumn("rank", F.col("place") + 1).drop("place", "_less")
+
+
+def with_flag(items: DataFrame, done: DataFrame, key: str, name: str = "processed") -> DataFrame:
+    """items, and whether their key is among those done."""
+    known = done.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct().withColumn("_there", F.lit(True))
+    return items.join(known, F.col(key) == F.col("_k"), "left").withColumn(name, F.coalesce("_there", F.lit(False))).drop("_k", "_there")
+
+
+def with_records(pages: DataFrame, records: DataFrame) -> DataFrame:
+    """The pages that have records."""
+    return pages.join(records.select("page").distinct(), "page", "left_semi")

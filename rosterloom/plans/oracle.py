@@ -101,9 +101,9 @@ _SURVIVED = [
         NOT c1 AND c2 AS pg, e1 <> '' AND e2 <> '' AND e1 <> e2 AND bad1 = bad2 AS cf FROM j)""",
     """survived AS (SELECT dni, CASE WHEN nm THEN trim(n2) ELSE n1 END AS nombre, CASE WHEN sc THEN e2 ELSE e1 END AS escuela, CASE WHEN pg THEN p2 ELSE p1 END AS pagina,
           CASE WHEN (nm OR sc) AND bad1 THEN '' ELSE o1 END AS observacion, c1 OR pg AS confirmada, 'ambos' AS fuente, CASE WHEN cf THEN e1 || ' vs ' || e2 ELSE '' END AS conflicto,
-          CAST(nm AS BIGINT) + CAST(sc AS BIGINT) + CAST(pg AS BIGINT) AS cambios FROM k
-        UNION ALL SELECT dni, nombre, escuela, pagina, observacion, confirmada, 'base', '', 0 FROM a0 WHERE dni NOT IN (SELECT dni FROM b0)
-        UNION ALL SELECT dni, nombre, escuela, pagina, observacion, confirmada, 'control', '', 0 FROM b0 WHERE dni NOT IN (SELECT dni FROM a0))""",
+          CAST(nm AS BIGINT) + CAST(sc AS BIGINT) + CAST(pg AS BIGINT) AS cambios, nm AS nombre_nuevo, sc AS escuela_nueva, pg AS pagina_nueva FROM k
+        UNION ALL SELECT dni, nombre, escuela, pagina, observacion, confirmada, 'base', '', 0, false, false, false FROM a0 WHERE dni NOT IN (SELECT dni FROM b0)
+        UNION ALL SELECT dni, nombre, escuela, pagina, observacion, confirmada, 'control', '', 0, false, false, false FROM b0 WHERE dni NOT IN (SELECT dni FROM a0))""",
 ]
 
 _LASTH = "h AS (SELECT dni, nombre AS nombre_past, escuela AS escuela_past FROM v_history WHERE dni <> '' QUALIFY row_number() OVER (PARTITION BY dni ORDER BY ord DESC) = 1)"
@@ -124,8 +124,8 @@ _PRIORITY = [
 ]
 
 _SNAP = [
-    "old AS (SELECT c_custkey AS id, 'M' || c_nationkey AS mesa, c_mktsegment AS nombre FROM customer WHERE c_custkey % 3 <> 0)",
-    "new AS (SELECT c_custkey AS id, 'M' || CASE WHEN c_custkey % 4 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS mesa, c_mktsegment AS nombre FROM customer WHERE c_custkey % 5 <> 0)",
+    "old AS (SELECT c_custkey AS id, 'M' || c_nationkey AS mesa, c_mktsegment AS nombre FROM customer)",
+    "new AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN c_custkey + 10000000 ELSE c_custkey END AS id, 'M' || CASE WHEN c_custkey % 4 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS mesa, c_mktsegment AS nombre FROM customer)",
     """snap AS (SELECT coalesce(old.id, new.id) AS id, CASE WHEN old.id IS NULL THEN 'nueva' WHEN new.id IS NULL THEN 'eliminada' ELSE 'mantiene' END AS estado,
         old.mesa AS mesa_old, new.mesa AS mesa_new, old.nombre AS nombre_old, new.nombre AS nombre_new,
         old.id IS NOT NULL AND new.id IS NOT NULL AND (old.mesa IS DISTINCT FROM new.mesa OR old.nombre IS DISTINCT FROM new.nombre) AS cambio
@@ -160,7 +160,7 @@ SQL: dict[str, str] = {
     "sample_top_n": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE l_returnflag WHEN 'R' THEN 0 WHEN 'N' THEN 1 ELSE 2 END, l_linenumber) <= 3",
     "batch_chunks": "WITH x AS (SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 500) AS BIGINT) AS batch FROM orders) SELECT batch, count(*) AS n, min(o_orderkey) AS first, max(o_orderkey) AS last FROM x GROUP BY batch",
     "reconcile_full_outer": with_views("SELECT * FROM survived", *_SURVIVED),
-    "reconcile_stats": with_views("SELECT count(*) AS total, count(*) FILTER (fuente = 'ambos') AS en_ambos, count(*) FILTER (fuente = 'base') AS solo_base, count(*) FILTER (fuente = 'control') AS solo_control, count(*) FILTER (cambios > 0) AS con_cambios, count(*) FILTER (conflicto <> '') AS conflictos FROM survived", *_SURVIVED),
+    "reconcile_stats": with_views("SELECT count(*) AS total, count(*) FILTER (fuente = 'ambos') AS en_ambos, count(*) FILTER (fuente = 'base') AS solo_base, count(*) FILTER (fuente = 'control') AS solo_control, count(*) FILTER (cambios > 0) AS con_cambios, count(*) FILTER (fuente = 'ambos' AND cambios = 0) AS sin_cambios, count(*) FILTER (nombre_nuevo) AS nombres_completados, count(*) FILTER (escuela_nueva) AS escuelas_completadas, count(*) FILTER (pagina_nueva) AS paginas_corregidas, count(*) FILTER (conflicto <> '') AS conflictos FROM survived", *_SURVIVED),
     "key_set_diff": with_views("SELECT coalesce(a.dni, b.dni) AS dni, CASE WHEN a.dni IS NULL THEN 'right' WHEN b.dni IS NULL THEN 'left' ELSE 'both' END AS side FROM (SELECT DISTINCT dni FROM v_roster_a WHERE dni <> '') a FULL JOIN (SELECT DISTINCT dni FROM v_roster_b WHERE dni <> '') b ON a.dni = b.dni"),
     "history_correction": with_views(
         f"""SELECT ord, nombre, nombre_past, CASE WHEN nombre_past IS NULL THEN 'sin_historia' WHEN upper(nombre) = upper(nombre_past) THEN 'igual' WHEN better THEN 'corregido' ELSE 'nombre_ok' END AS accion,
@@ -197,8 +197,8 @@ SQL: dict[str, str] = {
     "snapshot_counts": with_views("SELECT estado, count(*) AS n, count(*) FILTER (cambio) AS cambios FROM snap GROUP BY estado", *_SNAP),
     "compare_filter": with_views("SELECT id, estado, mesa_old, mesa_new FROM snap WHERE estado = 'mantiene' AND (contains(lower(coalesce(mesa_old, '')), 'm1') OR contains(lower(coalesce(mesa_new, '')), 'm1') OR contains(lower(coalesce(nombre_old, '')), 'm1') OR contains(lower(coalesce(nombre_new, '')), 'm1'))", *_SNAP),
     "site_coords_fallback": with_views(
-        """SELECT mesa AS id, round(CASE WHEN old THEN lat WHEN mesa < 16 THEN -35.0 - CAST(mesa AS DOUBLE) / 8 END, 6) AS lat, round(CASE WHEN old THEN lng WHEN mesa < 16 THEN -59.0 - CAST(mesa AS DOUBLE) / 16 END, 6) AS lng,
-           CASE WHEN old THEN 'old' WHEN mesa < 16 THEN 'new' ELSE 'none' END AS source, old OR mesa < 16 AS has_url FROM (SELECT *, mesa % 3 <> 0 AND mesa % 4 <> 0 AND mesa % 5 <> 0 AS old FROM v_sites)""",
+        """SELECT *, CASE WHEN has_url THEN 'https://maps.example.org/?q=' || CAST(round(lat) AS INTEGER) || ',' || CAST(round(lng) AS INTEGER) ELSE '-' END AS url FROM (SELECT mesa AS id, round(CASE WHEN old THEN lat WHEN mesa < 16 THEN -35.0 - CAST(mesa AS DOUBLE) / 8 END, 6) AS lat, round(CASE WHEN old THEN lng WHEN mesa < 16 THEN -59.0 - CAST(mesa AS DOUBLE) / 16 END, 6) AS lng,
+           CASE WHEN old THEN 'old' WHEN mesa < 16 THEN 'new' ELSE 'none' END AS source, old OR mesa < 16 AS has_url FROM (SELECT *, mesa % 3 <> 0 AND mesa % 4 <> 0 AND mesa % 5 <> 0 AS old FROM v_sites))""",
     ),
     "nearest_site": with_views(
         f"SELECT id, mesa, round({_HAV}, 6) AS km FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY {_HAV}, mesa) = 1",
@@ -229,14 +229,14 @@ SQL: dict[str, str] = {
         f(page, ord, k, anchor, line) AS (SELECT page, ord, k, y, CAST(0 AS BIGINT) FROM w WHERE k = 1
           UNION ALL SELECT w.page, w.ord, w.k, CASE WHEN abs(w.y - f.anchor) > 20 THEN w.y ELSE f.anchor END, f.line + CASE WHEN abs(w.y - f.anchor) > 20 THEN 1 ELSE 0 END FROM f JOIN w ON w.page = f.page AND w.k = f.k + 1)
         SELECT page, ord, line AS row FROM f""",
-    "feed_latest_state": with_views("SELECT task_id, ord, status, volunteer_id, total_records FROM states", *_STATES),
-    "status_stream": with_views("SELECT task_id, ord, status, volunteer_id, total_records FROM states", *_STATES),
+    "feed_latest_state": with_views("SELECT task_id, ord, status, volunteer_id, total_records, volunteer_name FROM states", *_STATES),
+    "status_stream": with_views("SELECT task_id, ord, status, volunteer_id, total_records, volunteer_name FROM states", *_STATES),
     "dashboard_status": with_views(
-        f"""SELECT CAST(500 AS BIGINT) AS total, {_DONE} AS done, count(*) FILTER (status = 'assigned') AS assigned, 500 - {_DONE} - count(*) FILTER (status = 'assigned') AS pending, CAST(floor({_DONE} / 500 * 100 + 0.5) AS BIGINT) AS pct,
+        f"""SELECT CAST(500 AS BIGINT) AS total, {_DONE} AS done, count(*) FILTER (status = 'assigned') AS assigned, 500 - {_DONE} - count(*) FILTER (status = 'assigned') AS pending, CAST(floor({_DONE} / 500 * 100 + 0.5) AS BIGINT) AS pct, round_even({_DONE} / 500 * 100, 2) AS completion_rate,
             CAST(coalesce(sum(total_records) FILTER (status = 'done'), 0) AS BIGINT) AS records_done, count(DISTINCT volunteer_id) FILTER (status = 'done') AS volunteers,
             CAST(floor((500 - {_DONE}) * 3 / greatest(count(DISTINCT volunteer_id) FILTER (status = 'done'), 1) + 0.5) AS BIGINT) AS eta_minutes FROM states""",
         *_STATES,
     ),
-    "leaderboard": with_views("SELECT volunteer_id, n, records, round(n / max(n) OVER (), 6) AS share, row_number() OVER (ORDER BY n DESC, volunteer_id) AS rank FROM (SELECT volunteer_id, count(*) AS n, CAST(sum(total_records) AS BIGINT) AS records FROM states WHERE status = 'done' AND volunteer_id IS NOT NULL GROUP BY 1)", *_STATES),
+    "leaderboard": with_views("SELECT volunteer_id, name, n, records, round(n / max(n) OVER (), 6) AS share, row_number() OVER (ORDER BY n DESC, volunteer_id) AS rank FROM (SELECT volunteer_id, arg_max(volunteer_name, ord) AS name, count(*) AS n, CAST(sum(total_records) AS BIGINT) AS records FROM states WHERE status = 'done' AND volunteer_id IS NOT NULL GROUP BY 1)", *_STATES),
     "resumable_work": with_views("SELECT DISTINCT task_id FROM v_feed WHERE task_id NOT IN (SELECT task_id FROM states WHERE status = 'done')", *_STATES),
 }

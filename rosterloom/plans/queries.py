@@ -242,8 +242,8 @@ def verified_export(spark, sf_dir):
 
 def _snapshots(spark, sf_dir):
     c = v.table(spark, sf_dir, "customer")
-    old = c.where("c_custkey % 3 <> 0").selectExpr("c_custkey AS id", "'M' || CAST(c_nationkey AS STRING) AS mesa", "c_mktsegment AS nombre")
-    new = c.where("c_custkey % 5 <> 0").selectExpr("c_custkey AS id", "'M' || CAST(CASE WHEN c_custkey % 4 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS STRING) AS mesa", "c_mktsegment AS nombre")
+    old = c.selectExpr("c_custkey AS id", "'M' || CAST(c_nationkey AS STRING) AS mesa", "c_mktsegment AS nombre")
+    new = c.selectExpr("CASE WHEN c_custkey % 5 = 0 THEN c_custkey + 10000000 ELSE c_custkey END AS id", "'M' || CAST(CASE WHEN c_custkey % 4 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS STRING) AS mesa", "c_mktsegment AS nombre")
     return compare.snapshot_diff(old, new, "id", ["mesa", "nombre"])
 
 
@@ -269,7 +269,7 @@ def site_coords_fallback(spark, sf_dir):
     coords = sites.selectExpr("mesa", "CASE WHEN mesa % 4 = 0 THEN NULL WHEN mesa % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE lat END AS lat", "lng")
     places = readers.lookup_table(spark, [(f"M{i}", -35.0 - i / 8, -59.0 - i / 16) for i in range(1, 16)], "label string, lat double, lng double")
     x = lookup.coords_fallback(entries, coords, places)
-    return x.select("id", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"), "source", (map_url(F.col("lat"), F.col("lng")) != "-").alias("has_url"))
+    return x.select("id", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"), "source", (map_url(F.col("lat"), F.col("lng")) != "-").alias("has_url"), map_url(F.round("lat", 0).cast("int"), F.round("lng", 0).cast("int")).alias("url"))
 
 
 @query

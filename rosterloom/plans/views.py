@@ -17,7 +17,7 @@ ROSTER_A = {
 }
 ROSTER_B = {
     "ord": "ord",
-    "dni": "dni",
+    "dni": "CASE WHEN ord % 5 = 0 AND dni <> '' THEN CAST(90000000 + ord AS STRING) ELSE dni END",
     "nombre": "CASE WHEN ord % 3 = 0 THEN nombre || ' ÑANDÚ' ELSE nombre END",
     "escuela": "CASE WHEN ord % 7 = 0 THEN '0-069-MS-0001' ELSE escuela END",
     "pagina": "pagina + 1000",
@@ -35,7 +35,7 @@ ROSTER_B_NEW = {
 }
 HISTORY = {
     "ord": "ord",
-    "dni": "dni",
+    "dni": "CASE WHEN ord % 4 = 1 AND dni <> '' THEN CAST(80000000 + ord AS STRING) ELSE dni END",
     "nombre": "CASE WHEN ord % 6 = 0 THEN nombre || 'XYZ' WHEN ord % 6 = 1 THEN replace(nombre, 'Q', 'Ó') WHEN ord % 6 = 2 THEN nombre || '$' WHEN ord % 30 = 3 THEN 'ZUTANO' ELSE nombre END",
     "escuela": "CASE WHEN ord % 10 = 0 THEN '0-069-EE-0009' ELSE escuela END",
 }
@@ -59,7 +59,7 @@ SITES = {
     "lng": "CAST(-58.5 AS DOUBLE) - ((n_nationkey * 7) % 25) * CAST(0.011 AS DOUBLE)",
 }
 SITE_CODES = {
-    "escuela_raw": "code || CASE WHEN p_partkey % 4 = 0 THEN ' ' ELSE '' END || CAST(p_partkey AS STRING)",
+    "escuela_raw": "code || CASE WHEN p_partkey % 4 = 0 THEN ' ' ELSE '' END || CAST(p_partkey % 97 AS STRING)",
     "mesa": "CAST(p_partkey % 25 AS BIGINT) + 1",
     "ord": "CAST(p_partkey AS BIGINT)",
 }
@@ -72,7 +72,7 @@ OCR_LINES = {
 }
 HEADERS = {"page": "pagina", "pos": "CAST(0 AS BIGINT)", "line": "'MESA: ' || CAST(pagina % 9 + 1 AS STRING)"}
 #: Noise, and lines with a name alone.
-NOISE = {"page": "pagina", "pos": "(ord % 60) + 101", "line": "CASE WHEN ord % 36 = 0 THEN '|||---...===' WHEN ord % 36 = 12 THEN 'DNI 12x y' ELSE 'LC  ' || nombre END"}
+NOISE = {"page": "pagina", "pos": "(ord % 60) + 101", "line": "CASE WHEN ord % 3 = 0 THEN '|||---...===' WHEN ord % 3 = 1 THEN 'DNI 12x y' ELSE 'LC  ' || nombre END"}
 #: The feed's states by event type.
 FEED = {
     "task_id": "CAST(event_id % 500 AS BIGINT)",
@@ -80,6 +80,7 @@ FEED = {
     "status": "CASE event_type WHEN 'signup' THEN 'pending' WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'removed' ELSE 'assigned' END",
     "volunteer_id": "CAST(user_id AS BIGINT)",
     "total_records": "CAST(event_id % 61 AS BIGINT)",
+    "volunteer_name": "'V' || CAST(user_id AS STRING) || '-' || CAST(event_id % 3 AS STRING)",
 }
 CODES = ("MS", "PP", "JI", "EE")
 
@@ -92,12 +93,12 @@ _CODES = ", ".join(f"('{c}')" for c in CODES)
 #: The views as common table expressions.
 CTES = {
     "v_roster_a": f"SELECT {_sql(ROSTER_A)} FROM customer",
-    "v_roster_b": f"SELECT {_sql(ROSTER_B)} FROM v_roster_a WHERE ord % 5 <> 0 UNION ALL SELECT {_sql(ROSTER_B_NEW)} FROM supplier",
-    "v_history": f"SELECT {_sql(HISTORY)} FROM v_roster_a WHERE ord % 4 <> 1",
+    "v_roster_b": f"SELECT {_sql(ROSTER_B)} FROM v_roster_a UNION ALL SELECT {_sql(ROSTER_B_NEW)} FROM supplier",
+    "v_history": f"SELECT {_sql(HISTORY)} FROM v_roster_a",
     "v_engines": f"SELECT {_sql(ENGINES)} FROM v_roster_a, (VALUES (1), (2), (3)) AS e(k)",
     "v_sites": f"SELECT {_sql(SITES)} FROM nation JOIN region ON n_regionkey = r_regionkey",
-    "v_site_codes": f"SELECT {_sql(SITE_CODES)} FROM part CROSS JOIN (VALUES {_CODES}) AS k(code) WHERE p_partkey < 97 AND p_partkey % 8 <> 3",
-    "v_ocr_lines": f"SELECT {_sql(OCR_LINES)} FROM v_roster_a UNION ALL SELECT DISTINCT {_sql(HEADERS)} FROM v_roster_a UNION ALL SELECT {_sql(NOISE)} FROM v_roster_a WHERE ord % 12 = 0",
+    "v_site_codes": f"SELECT {_sql(SITE_CODES)} FROM part CROSS JOIN (VALUES {_CODES}) AS k(code)",
+    "v_ocr_lines": f"SELECT {_sql(OCR_LINES)} FROM v_roster_a UNION ALL SELECT DISTINCT {_sql(HEADERS)} FROM v_roster_a UNION ALL SELECT {_sql(NOISE)} FROM v_roster_a",
     "v_feed": f"SELECT {_sql(FEED)} FROM events",
 }
 
@@ -125,11 +126,11 @@ def roster_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roster_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _of(roster_a(spark, sf_dir).where("ord % 5 <> 0"), ROSTER_B).unionByName(_of(table(spark, sf_dir, "supplier"), ROSTER_B_NEW))
+    return _of(roster_a(spark, sf_dir), ROSTER_B).unionByName(_of(table(spark, sf_dir, "supplier"), ROSTER_B_NEW))
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _of(roster_a(spark, sf_dir).where("ord % 4 <> 1"), HISTORY)
+    return _of(roster_a(spark, sf_dir), HISTORY)
 
 
 def engines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,12 +144,12 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def site_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = ", ".join(f"'{c}'" for c in CODES)
-    return _of(table(spark, sf_dir, "part").where("p_partkey < 97 AND p_partkey % 8 <> 3").selectExpr("p_partkey", f"explode(array({codes})) AS code"), SITE_CODES)
+    return _of(table(spark, sf_dir, "part").selectExpr("p_partkey", f"explode(array({codes})) AS code"), SITE_CODES)
 
 
 def ocr_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = roster_a(spark, sf_dir)
-    return _of(a, OCR_LINES).unionByName(_of(a, HEADERS).distinct()).unionByName(_of(a.where("ord % 12 = 0"), NOISE))
+    return _of(a, OCR_LINES).unionByName(_of(a, HEADERS).distinct()).unionByName(_of(a, NOISE))
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.functions.numbers import half_up
+from rosterloom.functions.numbers import half_even, half_up
+from rosterloom.operators.dedup import places
 
 MINUTES_PER_PAGE = 3
 
 
 def latest_states(feed: DataFrame) -> DataFrame:
     """The last change (by ord) of each task of feed (task_id, ord, status, volunteer_id, total_records); removed tasks go."""
-    last = feed.groupBy("task_id").agg(F.max_by(F.struct("status", "volunteer_id", "total_records"), "ord").alias("_s"), F.max("ord").alias("ord"))
+    last = feed.groupBy("task_id").agg(F.max_by(F.struct(*(c for c in feed.columns if c not in ("task_id", "ord"))), "ord").alias("_s"), F.max("ord").alias("ord"))
     return last.select("task_id", "ord", "_s.*").where(F.col("status") != "removed")
 
 
@@ -29,15 +30,18 @@ def dashboard(states: DataFrame, total: int) -> DataFrame:
     return x.select(
         F.lit(total).cast("bigint").alias("total"), "done", "assigned", (left - F.col("assigned")).alias("pending"),
         F.when(F.lit(total) > 0, half_up(F.col("done") / F.lit(total) * 100)).otherwise(F.lit(0)).cast("bigint").alias("pct"),
+        F.when(F.lit(total) > 0, half_even(F.col("done") / F.lit(total) * 100, 2)).otherwise(0.0).alias("completion_rate"),
         "records_done", "volunteers", half_up(left * MINUTES_PER_PAGE / F.greatest("volunteers", F.lit(1))).cast("bigint").alias("eta_minutes"),
     )
 
 
 def leaderboard(states: DataFrame) -> DataFrame:
-    """Volunteers by tasks done, with their share of the most."""
-    x = states.where("status = 'done' AND volunteer_id IS NOT NULL").groupBy("volunteer_id").agg(F.count("*").alias("n"), F.sum("total_records").alias("records"))
-    most = F.max("n").over(Window.partitionBy(F.lit(0)))
-    return x.withColumn("share", F.round(F.col("n") / most, 6)).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "volunteer_id")).cast("bigint"))
+    """Volunteers by tasks done, under the name seen last, with their share of the most."""
+    done = states.where("status = 'done' AND volunteer_id IS NOT NULL")
+    x = done.groupBy("volunteer_id").agg(F.max_by("volunteer_name", "ord").alias("name"), F.count("*").alias("n"), F.sum("total_records").alias("records"))
+    most = x.agg(F.max("n").alias("_most"))  # one row
+    ranked = places(x.join(F.broadcast(most)).withColumn("_less", -F.col("n")), "_less", "volunteer_id")
+    return ranked.select("volunteer_id", "name", "n", "records", F.round(F.col("n") / F.col("_most"), 6).alias("share"), (F.col("place") + 1).alias("rank"))
 
 
 def upsert_states(feed_stream: DataFrame, folder: str, checkpoint: str) -> Callable[[], DataFrame]:
@@ -47,11 +51,12 @@ def upsert_states(feed_stream: DataFrame, folder: str, checkpoint: str) -> Calla
     version; a version counts when it is whole. A batch that runs again writes the same version again.
     """
     spark = feed_stream.sparkSession
+    latest = F.max_by(F.struct("ord", *(c for c in feed_stream.columns if c not in ("task_id", "ord"))), "ord").alias("_s")
 
     def merge(batch: DataFrame, number: int) -> None:
-        last = batch.groupBy("task_id").agg(F.max_by(F.struct("ord", "status", "volunteer_id", "total_records"), "ord").alias("_s")).select("task_id", "_s.*")
+        last = batch.groupBy("task_id").agg(latest).select("task_id", "_s.*")
         if number:
-            last = last.unionByName(spark.read.parquet(f"{folder}/v={number - 1}")).groupBy("task_id").agg(F.max_by(F.struct("ord", "status", "volunteer_id", "total_records"), "ord").alias("_s")).select("task_id", "_s.*")
+            last = last.unionByName(spark.read.parquet(f"{folder}/v={number - 1}")).groupBy("task_id").agg(latest).select("task_id", "_s.*")
         last.write.mode("overwrite").parquet(f"{folder}/v={number}")  # removed tasks stay as marks, so late changes don't revive them
 
     query = feed_stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
