@@ -64,7 +64,7 @@ def page_of(name):
 
 def images_by_page(spark: SparkSession, path: str) -> DataFrame:
     """pag_NNNN (K).jpg and the like: the sorted files of each page. Paths only: no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jpg").load(path).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[jJ][pP][gG]").load(path).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"))
     x = files.withColumn("group", F.regexp_extract("file", r"^(pag_[0-9]+)", 1)).where("group <> ''")
     return x.groupBy("group").agg(F.array_sort(F.collect_list("file")).alias("files"))
 
@@ -79,18 +79,17 @@ def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return spark.createDataFrame(rows, schema)
 
 
-def sheets(spark: SparkSession, path: str, skip: tuple[str, ...] = ("RESUMEN",), first_row: int = 0) -> DataFrame:
-    """All sheets of a workbook as (sheet, pos, c0, ..., c4) strings. Workbooks are small; pandas needs a reader for them (openpyxl or xlrd), which may be absent."""
+def sheets(spark: SparkSession, path: str, skip: tuple[str, ...] = ("RESUMEN",), first_row: int = 0, only: str | None = None) -> DataFrame:
+    """All sheets of a workbook, or the one named, as (sheet, pos, c0, c1, ...) strings, as many as the widest has. Workbooks are small; pandas needs a reader for them (openpyxl or xlrd), which may be absent."""
     import pandas as pd
 
-    parts = []
-    for name, df in pd.read_excel(path, sheet_name=None, header=None, dtype=str).items():
-        if name not in skip:
-            df = df.iloc[first_row:, :5].reindex(columns=range(5))
-            df.columns = [f"c{i}" for i in range(5)]
-            parts.append(df.assign(sheet=name, pos=range(len(df))))
-    frame = pd.concat(parts)[["sheet", "pos", *(f"c{i}" for i in range(5))]]
-    return spark.createDataFrame(frame.astype(object).where(frame.notna(), None), "sheet string, pos long, c0 string, c1 string, c2 string, c3 string, c4 string")
+    read = pd.read_excel(path, sheet_name=only, header=None, dtype=str)
+    found = {only: read} if only else {name: df for name, df in read.items() if name not in skip}
+    width = max([df.shape[1] for df in found.values()], default=0)
+    columns = [f"c{i}" for i in range(width)]
+    parts = [df.iloc[first_row:].reindex(columns=range(width)).set_axis(columns, axis=1).assign(sheet=name).assign(pos=range(max(0, len(df) - first_row))) for name, df in found.items()]
+    rows = pd.concat(parts)[["sheet", "pos", *columns]].astype(object) if parts else pd.DataFrame(columns=["sheet", "pos"])
+    return spark.createDataFrame(rows.where(rows.notna(), None), ", ".join(["sheet string", "pos long", *(f"{c} string" for c in columns)]))
 
 
 def rule_layers(*paths: str) -> tuple[Rule, ...]:
