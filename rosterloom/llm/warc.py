@@ -9,6 +9,9 @@ owns the records that start inside its range, and reads the last one past the ra
   rows that repeat that page_id are responses too. Smaller payloads are all responses.
 - An empty table writes no archives and reads as no rows. Other columns aren't read.
 - An archive's name is that of its task and its part: a task that runs again replaces its archives with equal ones.
+- Record ids are page ids, so they repeat where page ids do. A folder without a scheme is a mounted path that all machines
+  share.
+- A very long payload is one record: a task holds it once, decoded, and its compressed bytes.
 - Memory: one Arrow batch of pages to write, one record and one read buffer to read.
 """
 
@@ -31,6 +34,10 @@ from rosterloom.llm.common import col, shared_dir, written
 
 MAGIC = b"\x1f\x8b\x08"
 _DATE = "2020-01-01T00:00:00Z"
+#: So many digests with the record that they revisit (some 60 bytes each) may be broadcast.
+MAX_SENT = 200_000
+#: So many tasks read at most, each one or more ranges.
+MAX_TASKS = 50_000
 ROW = "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long, digest_ok boolean, archive string, offset long"
 
 
@@ -38,15 +45,25 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def plan_revisits(pages: DataFrame, id: str = "page_id", html: str = "html", least: int = 1000) -> DataFrame:
+def plan_revisits(pages: DataFrame, id: str = "page_id", html: str = "html", least: int = 1000, sent: int = MAX_SENT) -> DataFrame:
     """pages (id, url, payload, digest, refers_to): the record that each is to revisit, or null.
 
-    Only digests that occur more than once are joined; their counts are summed map-side first.
+    Digests that occur more than once are counted map-side first. Up to `sent` of them are broadcast, so no page moves.
+    Beyond that those are that hold more than 1/`sent` of all such pages, of which there are fewer than `sent`; what is
+    left has no hot digest and meets in a shuffle, where pages that are settled are spread by row.
     """
     rows = pages.select(col(id).cast("long").alias("id"), col("url").cast("string").alias("url") if "url" in pages.columns else F.lit(None).cast("string").alias("url"), F.coalesce(col(html).cast("string"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    again = rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("id").alias("top"), F.count("*").alias("c")).where("c > 1 and top is not null")
-    return rows.join(again.select("digest", "top"), "digest", "left").select("id", "url", "payload", "digest", F.when(~F.col("id").eqNullSafe(F.col("top")), F.col("top")).alias("refers_to"))
+    again = written(rows.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("id").alias("top"), F.count("*").alias("c")).where("c > 1 and top is not null"))
+    n, copies = again.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+    hot = F.lit(True) if n <= sent else F.col("c") > copies // sent
+    rows = rows.join(F.broadcast(again.where(hot).select("digest", "top")), "digest", "left")
+    if n > sent:
+        rest = again.where(~hot).select(F.col("digest").alias("_digest"), F.col("top").alias("_top"))
+        open_yet = F.col("top").isNull() & (F.octet_length("payload") >= least)
+        own = F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))  # no digest
+        rows = rows.withColumn("_digest", F.when(open_yet, F.col("digest")).otherwise(own)).join(rest, "_digest", "left").withColumn("top", F.coalesce("top", "_top"))
+    return rows.select("id", "url", "payload", "digest", F.when(~F.col("id").eqNullSafe(F.col("top")), F.col("top")).alias("refers_to"))
 
 
 def _clean(url: str) -> str:
@@ -109,20 +126,20 @@ def write_archives(planned: DataFrame, folder: str, archive_bytes: int = 256 <<
     return planned.mapInPandas(run, "archive string, bytes long, records long")
 
 
-def _head(decoded: bytes) -> tuple[dict[str, str], int] | None:
+def _head(decoded: bytes | bytearray) -> tuple[dict[str, str], int] | None:
     """The fields of a WARC header and where the block starts; None if this isn't a record."""
     if not decoded.startswith(b"WARC/") or (end := decoded.find(b"\r\n\r\n")) < 0:
         return None
     lines = decoded[:end].decode("utf-8", "replace").split("\r\n")[1:]
     fields = {k.strip().lower(): v.strip() for k, sep, v in (x.partition(":") for x in lines) if sep}
-    return (fields, end + 4) if "warc-type" in fields and fields.get("content-length", "").isdigit() else None
+    return (fields, end + 4) if "warc-type" in fields and re.fullmatch("[0-9]+", fields.get("content-length", "")) else None
 
 
 class _Window:
     """Bytes of a file by absolute position, read in pieces; what lies behind is let go."""
 
     def __init__(self, file, size: int, at: int, piece: int = 1 << 20):
-        self.file, self.size, self.start, self.data, self.piece = file, size, at, b"", piece
+        self.file, self.size, self.start, self.data, self.piece = file, size, at, bytearray(), piece
 
     def upto(self, end: int) -> None:
         have = self.start + len(self.data)
@@ -132,7 +149,7 @@ class _Window:
 
     def forget(self, before: int) -> None:
         if before - self.start > self.piece:
-            self.data = self.data[before - self.start :]
+            del self.data[: before - self.start]
             self.start = before
 
 
@@ -152,7 +169,7 @@ def read_range(file, size: int, start: int, end: int) -> Iterator[tuple[int, dic
         if at >= end:
             return
         w.upto(at + (64 << 10))
-        z, decoded, used, found = zlib.decompressobj(31), b"", at, None
+        z, decoded, used, found = zlib.decompressobj(31), bytearray(), at, None
         try:
             while not z.eof:
                 w.upto(used + 1)
@@ -170,7 +187,7 @@ def read_range(file, size: int, start: int, end: int) -> Iterator[tuple[int, dic
             at += 1
             continue
         fields, body = found
-        yield at, fields, decoded[body : body + int(fields["content-length"])]
+        yield at, fields, bytes(memoryview(decoded)[body : body + int(fields["content-length"])])
         at = used
         w.forget(at)
 
@@ -183,7 +200,8 @@ def _page(urn: str | None) -> int | None:
 def read_archives(spark: SparkSession, archives: DataFrame, range_bytes: int = 32 << 20) -> DataFrame:
     """The records (ROW) of the archives (archive, bytes); a revisit's payload is null, its length and digest those recorded."""
     ranges = archives.where("bytes > 0").select("archive", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
-    ranges = ranges.repartition("archive", "start")
+    tasks = archives.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
+    ranges = ranges.repartition(min(int(tasks), MAX_TASKS), "archive", "start")  # by number, or rows so few would share a task
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split(" ")[0] for x in ROW.split(", ")]

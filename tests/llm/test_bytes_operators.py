@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 from fractions import Fraction
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -98,6 +99,24 @@ def test_archives_round_trip(spark):
     assert warc.through_archives(none).count() == 0
 
 
+@pytest.mark.parametrize("sent", (1, 2, 3, 200_000))
+def test_revisits_when_not_all_repeats_may_be_sent(spark, sent):
+    rows = PAGES + [(100 + i, "u", "h" * 1200) for i in range(40)]
+    planned = warc.plan_revisits(spark.createDataFrame(rows, "page_id long, url string, html string"), sent=sent)
+    got = Counter((str(r["id"]), r["digest"], str(r["refers_to"])) for r in planned.select("id", "digest", "refers_to").collect())
+    want = Counter()
+    for (id, _, digest, _, refers), n in brute_warc(rows).items():
+        want[id, digest, refers] += n
+    assert got == want
+
+
+def test_a_long_record(spark):
+    html = "".join(random.Random(5).choices("abcdefghij ", k=6_000_000))
+    out = warc.through_archives(spark.createDataFrame([(1, "u", html), (2, "u", html)], "page_id long, url string, html string"), range_bytes=1 << 20)
+    digest = hashlib.sha1(html.encode()).hexdigest()
+    assert {tuple(r) for r in out.select("page_id", "payload_bytes", "payload_digest", "refers_to").collect()} == {(1, len(html), digest, 2), (2, len(html), digest, None)}
+
+
 def members(n=40):
     g = random.Random(2)
     return [warc.member(warc.record(i, "u", bytes(g.getrandbits(8) for _ in range(g.randint(0, 400))) + warc.MAGIC * 3, hashlib.sha1(b"").hexdigest(), None), level=g.choice((0, 1, 9))) for i in range(n)]
