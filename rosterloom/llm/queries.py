@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.llm import byte_bpe, decontaminate, kn_quality, line_dedup, mpeg_media, near_dup, secret_scan, suffix_dedup, token_counts, warc
+from rosterloom.llm import byte_bpe, decontaminate, divergence, kn_quality, line_dedup, mpeg_media, near_dup, secret_scan, suffix_dedup, token_counts, vector_codes, warc
 from rosterloom.llm.chunks import forget, made
 from rosterloom.llm.common import shared_dir
 
@@ -76,8 +76,19 @@ def op10_mpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "duration_s", "intact")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    code = F.lower(F.array_join(F.transform("code", lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+    sha = F.lit(vector_codes.books_sha256(books) if books else None).cast("string")
+    return out.select("vec_id", code.alias("code"), "error", "label_error", sha.alias("codebooks_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kn_quality, op2_warc, op3_near_dup, op4_suffix_dedup, op5_token_counts, op6_line_dedup, op7_decontaminate, op8_byte_bpe, op9_secret_scan, op10_mpeg_media)}
+    return {f.__name__: f for f in (op1_kn_quality, op2_warc, op3_near_dup, op4_suffix_dedup, op5_token_counts, op6_line_dedup, op7_decontaminate, op8_byte_bpe, op9_secret_scan, op10_mpeg_media, op12_vector_codes, op13_source_divergence)}
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -117,6 +128,52 @@ SQL = {
         FROM w LEFT JOIN cnt USING (doc_id) LEFT JOIN its USING (doc_id)""",
 }
 
+SQL["op13_source_divergence"] = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+         g AS (SELECT DISTINCT lang, source FROM d),
+         t AS (SELECT r, lang, source, unnest(ws) AS term FROM d),
+         k AS (SELECT lang, term FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 30),
+         c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+         v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+         s AS (SELECT lang, source, CAST(coalesce(sum(n), 0) AS HUGEINT) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+         a AS (SELECT lang, CAST(sum(n) AS HUGEINT) AS total FROM c GROUP BY 1),
+         p AS (SELECT lang, source, term, coalesce(n, 0) AS n, CAST(1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS BIGINT) AS p
+               FROM s JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+         q AS (SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (sum(n) + 5)) // (any_value(total) + 5 * any_value(v)) AS BIGINT) AS q
+               FROM c JOIN a USING (lang) JOIN v USING (lang) GROUP BY ALL),
+         pairs AS (SELECT x.lang, x.source, y.source AS item, CAST(sum(abs(x.p - y.p)) AS BIGINT) AS value
+                   FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+         every AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+                   FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN pairs ON pairs.lang = x.lang AND pairs.source = x.source AND pairs.item = y.source
+                   UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, value, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every)
+    WHERE part = 'pair' OR rank <= 50"""
+
+
+def _vector_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds one after another: x the parts of the vectors, b the codebooks, n the nearest entries."""
+    nearest = """SELECT x.vec_id, x.p, arg_min(b.e, d * 256 + b.e) AS e, CAST(min(d) AS BIGINT) AS d
+        FROM x JOIN {book} b ON x.p = b.p, LATERAL (SELECT list_dot_product(x.v, x.v) - 2 * list_dot_product(x.v, b.v) + list_dot_product(b.v, b.v) AS d) GROUP BY ALL"""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"n{i} AS MATERIALIZED ({nearest.format(book=f'b{i}')})")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT p, e, i, floor(sum(c) / count(*)) AS c FROM (SELECT p, e, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM n{i} JOIN x USING (vec_id, p)) GROUP BY ALL),
+            b{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(w, b{i}.v) AS v FROM b{i} LEFT JOIN (SELECT p, e, list(c ORDER BY i) AS w FROM m{i} GROUP BY ALL) USING (p, e))""")
+    return f"""
+    WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda y: floor(1024 * CAST(y AS DOUBLE))) AS v FROM embeddings
+                  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+         x AS MATERIALIZED (SELECT vec_id, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS v FROM kept, range({parts}) r(p)),
+         b0 AS MATERIALIZED (SELECT p, e, v FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {entries}) USING (vec_id)),
+         {", ".join(steps)},
+         books AS (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS sha FROM (SELECT p, e, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM b{rounds})),
+         codes AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM n{rounds} GROUP BY ALL)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256 FROM codes JOIN kept USING (vec_id), books"""
+
+
+SQL["op12_vector_codes"] = _vector_sql()
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
