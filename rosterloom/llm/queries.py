@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.llm import byte_bpe, decontaminate, divergence, kn_quality, line_dedup, mpeg_media, near_dup, secret_scan, suffix_dedup, token_counts, vector_codes, warc
+from rosterloom.llm import byte_bpe, decontaminate, divergence, kn_quality, line_dedup, mpeg_media, near_dup, secret_scan, suffix_dedup, token_counts, toxicity, vector_codes, warc
 from rosterloom.llm.chunks import forget, made
 from rosterloom.llm.common import shared_dir
 
@@ -76,6 +76,12 @@ def op10_mpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "duration_s", "intact")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    near = F.transform("near", lambda x: F.concat_ws(":", x["id"], F.round(x["cosine"], 6).cast("string"), x["toxic"].cast("string"), x["examples"].cast("string")))
+    return out.select("doc_id", "held_out", "score", "predicted", F.array_join("terms", ",").alias("terms"), F.array_join(near, ",").alias("near"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
     code = F.lower(F.array_join(F.transform("code", lambda x: F.lpad(F.hex(x), 2, "0")), ""))
@@ -88,7 +94,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kn_quality, op2_warc, op3_near_dup, op4_suffix_dedup, op5_token_counts, op6_line_dedup, op7_decontaminate, op8_byte_bpe, op9_secret_scan, op10_mpeg_media, op12_vector_codes, op13_source_divergence)}
+    return {f.__name__: f for f in (op1_kn_quality, op2_warc, op3_near_dup, op4_suffix_dedup, op5_token_counts, op6_line_dedup, op7_decontaminate, op8_byte_bpe, op9_secret_scan, op10_mpeg_media, op11_toxicity, op12_vector_codes, op13_source_divergence)}
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
