@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.llm import byte_bpe, decontaminate, kn_quality, line_dedup, near_dup
 from rosterloom.llm.chunks import forget, made
-from rosterloom.llm.common import written
+from rosterloom.sources.shared import scratch, shared_dir, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -65,7 +65,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on documents, each written to the shared folder and read again by the next."""
     docs = _table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        since = made()
-        docs = written(stage(spark, docs, sf_dir))
-        forget(spark, since)
+        since, path = made(), shared_dir(spark, "stage")
+        with scratch(spark):  # what a stage writes on its way goes when its result is written, or when it fails
+            try:
+                docs = written(stage(spark, docs, sf_dir), path=path)
+            finally:
+                forget(spark, since)
     return docs

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterloom.sources.shared import written
+
 
 def _ranked(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
@@ -35,10 +37,18 @@ def duplicates(df: DataFrame, keys: list[str], ord: str) -> DataFrame:
 
 
 def places(df: DataFrame, *order: str) -> DataFrame:
-    """df with its place (from 0) in a total order, by ranges and offsets: no window holds all rows."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    placed = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each partition
-    x = placed.join(F.broadcast(before), "_part").withColumn("place", F.col("_before") + F.col("_at") - 1)
-    return x.drop("_part", "_at", "_n", "_before")
+    """df with its place (from 0) in a total order, by ranges and offsets: no window holds all rows.
+
+    The rows are written as they are, numbered, which breaks ties and splits keys of very many rows; then in ranges, each
+    with the number of its range and place in it. Both are read back, so nothing depends on a plan that runs twice.
+    """
+    row, at, before = "__places_row", "__places_at", "__places_before"
+    fixed = written(df.withColumn(row, F.monotonically_increasing_id()))
+    ranged = fixed.repartitionByRange(*order, row).sortWithinPartitions(*order, row)
+    placed = written(ranged.drop(row).withColumn(at, F.monotonically_increasing_id()))  # the range in the upper bits, the place in it below
+    part, inside = F.shiftright(at, 33), F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_range")).agg(F.count("*").alias("_n"))
+    offset = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_range", offset.alias(before))  # a row for each range
+    out = placed.join(F.broadcast(offsets), part == F.col("_range"))
+    return out.select(*(F.col(f"`{c}`") for c in df.columns), (F.col(before) + inside).alias("place"))

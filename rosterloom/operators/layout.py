@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,24 +12,32 @@ from pyspark.sql import functions as F
 def word_rows(words: DataFrame, tolerance: int = 20) -> DataFrame:
     """words (page, ord, y) with the row of each: a row starts where y is more than `tolerance` from the row's first word.
 
-    A fold over the words of a page in order of y; the anchor, not the previous word, decides, so no window can say it.
-    The fold keeps the anchors alone; a word is in the row of the last anchor up to it.
+    The anchor, not the previous word, decides, so no window can say it: it is a fold over a page's words in order of y. The
+    words of a page come sorted, and the fold keeps the anchor and the row's number alone, however many words a page has.
     """
-    start = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.array().cast("array<bigint>").alias("all"))
-
-    def step(acc, w):
-        new = acc["anchor"].isNull() | (F.abs(w["y"] - acc["anchor"]) > tolerance)
-        return F.struct(F.when(new, w["y"]).otherwise(acc["anchor"]).alias("anchor"), F.when(new, F.concat(acc["all"], F.array(w["y"]))).otherwise(acc["all"]).alias("all"))
-
     typed = words.select("page", F.col("ord").cast("bigint").alias("ord"), F.col("y").cast("bigint").alias("y"))
-    pages = typed.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("y", "ord"))).alias("_words"))
-    rows = pages.select("page", "_words", F.aggregate("_words", start, step)["all"].alias("_anchors")).select("page", "_anchors", F.explode("_words").alias("w"))
-    return rows.select("page", "w.ord", (F.size(F.filter("_anchors", lambda a: a <= F.col("w.y"))) - 1).cast("bigint").alias("row"))
-
-
-def reading_order(spans: DataFrame) -> DataFrame:
-    """spans (page, col, y, x, ...) with their place on the page, from 0: column by column, from above, from the left."""
-    return spans.withColumn("pos", F.row_number().over(Window.partitionBy("page").orderBy("col", "y", "x")).cast("bigint") - 1)
+    kind = typed.schema["page"].dataType.simpleString()
+    sorted_pages = typed.repartition("page").sortWithinPartitions("page", "y", "ord")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, anchor, row = object(), 0, -1
+        for batch in batches:
+            out = []
+            for p, y in zip(batch.column("page").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                if p != page:
+                    page, anchor, row = p, y, 0
+                elif y is not None and (anchor is None or abs(y - anchor) > tolerance):
+                    anchor, row = y, row + 1
+                out.append(row)
+            yield pa.RecordBatch.from_arrays([batch.column("page"), batch.column("ord"), pa.array(out, pa.int64())], names=["page", "ord", "row"])
+
+    return sorted_pages.mapInArrow(run, f"page {kind}, ord long, row long")
+
+
+def reading_order(spans: DataFrame, *ties: str) -> DataFrame:
+    """spans (page, col, y, x, ...) with their place on the page, from 0: column by column, from above, from the left, then by `ties`, or else by a hash of the whole span."""
+    last = ties or (F.xxhash64(*(F.col(f"`{c}`") for c in spans.columns)),)
+    return spans.withColumn("pos", F.row_number().over(Window.partitionBy("page").orderBy("col", "y", "x", *last)).cast("bigint") - 1)
 
 
 def row_texts(words: DataFrame, rows: DataFrame) -> DataFrame:

@@ -101,22 +101,22 @@ def correct_by_history(joined: DataFrame, least: float = 0.6, ratio: bool = True
     return x.withColumn("accion", action).withColumn("nombre_final", F.when(F.col("accion") == "corregido", F.col("nombre_past")).otherwise(F.col("nombre"))).withColumn("estado_escuela", school_state()).drop("_compare")
 
 
-def vote(engines: DataFrame) -> DataFrame:
-    """Records of several engines (engine, engine_no, ord, tipo, documento, nombre, destino, mesa, confianza) as one for each id.
+def vote(engines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Records of several engines (engine, engine_no, ord, tipo, documento, nombre, destino, mesa, confianza) as one for each id (within `by`, a page, say).
 
     Of an engine the last row of an id counts. Types and sites by majority, names and destinations from the row of
     highest confidence; the first engine wins ties. Rows without id stay as they are.
     """
-    named = keep_last(engines.where("documento <> ''"), ["engine", "documento"], "ord")
-    counts = named.groupBy("documento").agg(
+    named = keep_last(engines.where("documento <> ''"), ["engine", *by, "documento"], "ord")
+    counts = named.groupBy(*by, "documento").agg(
         F.max_by("nombre", F.struct("confianza", -F.col("engine_no"))).alias("nombre"),
         F.max_by("destino", F.struct("confianza", -F.col("engine_no"))).alias("destino"),
         F.avg("confianza").alias("confianza"),
         F.count("*").alias("engines"),
         F.collect_list(F.struct("engine_no", "tipo", "mesa")).alias("_all"),  # one row of each engine
     )
-    merged = counts.select("documento", _majority("tipo", F.lit("DNI"), lambda v: v.isNotNull()).alias("tipo"), "nombre", "destino", _majority("mesa", F.lit(0).cast("bigint"), lambda v: v > 0).alias("mesa"), "confianza", "engines")
-    loose = engines.where(F.coalesce("documento", F.lit("")) == "").select("documento", "tipo", "nombre", "destino", F.col("mesa").cast("bigint").alias("mesa"), F.col("confianza").cast("double").alias("confianza"), F.lit(1).cast("bigint").alias("engines"))
+    merged = counts.select(*by, "documento", _majority("tipo", F.lit("DNI"), lambda v: v.isNotNull()).alias("tipo"), "nombre", "destino", _majority("mesa", F.lit(0).cast("bigint"), lambda v: v > 0).alias("mesa"), "confianza", "engines")
+    loose = engines.where(F.coalesce("documento", F.lit("")) == "").select(*by, "documento", "tipo", "nombre", "destino", F.col("mesa").cast("bigint").alias("mesa"), F.col("confianza").cast("double").alias("confianza"), F.lit(1).cast("bigint").alias("engines"))
     return merged.unionByName(loose)
 
 

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions import numbers, text
 from rosterloom.operators import compare, layout, lookup, parse, reconcile, search, summaries, tasks
+from rosterloom.plans import oracle
 from rosterloom.plans import views as v
 from rosterloom.plans.oracle import _ENRICHED
 from rosterloom.plans.queries import QUERIES, enriched, query
 from rosterloom.plans.views import with_views
 from rosterloom.sources import readers
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"dashboard_stream": oracle.SQL["dashboard_status"]}
 
 
 @query
@@ -108,19 +109,19 @@ SQL["embedded_sections"] = with_views(
 
 
 def _file_lines(spark, sf_dir) -> DataFrame:
-    return v.roster_a(spark, sf_dir).selectExpr("pagina % 4 AS file", "pagina AS page", "ord AS pos", "CASE WHEN ord % 7 = 0 THEN ord % 5 END AS mesa", "CASE WHEN ord % 50 = 0 THEN nombre END AS title")
+    return v.roster_a(spark, sf_dir).selectExpr("CAST(floor(pagina / 5.0) AS BIGINT) AS file", "pagina AS page", "ord AS pos", "CASE WHEN ord % 7 = 0 THEN ord % 5 END AS mesa", "CASE WHEN ord % 50 = 0 THEN nombre END AS title")
 
 
 @query
 def carry_across_pages(spark, sf_dir):
-    headers = v.roster_a(spark, sf_dir).selectExpr("pagina % 4 AS file", "pagina AS page", "pagina % 9 + 1 AS mesa").where("page % 3 = 0").distinct()
+    headers = v.roster_a(spark, sf_dir).selectExpr("CAST(floor(pagina / 5.0) AS BIGINT) AS file", "pagina AS page", "CASE WHEN pagina % 3 = 0 THEN pagina % 9 + 1 END AS mesa").distinct()
     return parse.carry_across_pages(_file_lines(spark, sf_dir), headers).select("page", "pos", "carried")
 
 
-_FILES = "f AS (SELECT pagina % 4 AS file, pagina AS page, ord AS pos, CASE WHEN ord % 7 = 0 THEN ord % 5 END AS mesa, CASE WHEN ord % 50 = 0 THEN nombre END AS title FROM v_roster_a)"
+_FILES = "f AS (SELECT CAST(floor(pagina / 5.0) AS BIGINT) AS file, pagina AS page, ord AS pos, CASE WHEN ord % 7 = 0 THEN ord % 5 END AS mesa, CASE WHEN ord % 50 = 0 THEN nombre END AS title FROM v_roster_a)"
 SQL["carry_across_pages"] = with_views(
     """SELECT page, pos, carried FROM (SELECT *, coalesce(last_value(mesa IGNORE NULLS) OVER (PARTITION BY file ORDER BY page, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS carried
-       FROM (SELECT file, page, pos, mesa FROM f UNION ALL SELECT DISTINCT file, page, -1, page % 9 + 1 FROM f WHERE page % 3 = 0)) WHERE pos >= 0""", _FILES
+       FROM (SELECT file, page, pos, mesa FROM f UNION ALL SELECT DISTINCT file, page, -1, CASE WHEN page % 3 = 0 THEN page % 9 + 1 END FROM f)) WHERE pos >= 0""", _FILES
 )
 
 
@@ -236,8 +237,8 @@ SQL["reading_order"] = "SELECT l_orderkey AS page, CAST(l_linenumber AS BIGINT)
 @query
 def own_site_default(spark, sf_dir):
     """Members without a site keep the number that their page gives."""
-    x = enriched(spark, sf_dir).withColumn("own", F.col("pagina") % 9 + 1)
-    return x.select("ord", F.coalesce("mesa", "own").alias("mesa_sede"), "zona")
+    x = lookup.assign_sites(v.roster_a(spark, sf_dir), v.site_codes(spark, sf_dir)).withColumn("own", F.col("pagina") % 9 + 1)
+    return lookup.with_sites(x, v.sites(spark, sf_dir), own="own").select("ord", "mesa_sede", "zona")
 
 
 SQL["own_site_default"] = with_views("SELECT ord, coalesce(mesa, pagina % 9 + 1) AS mesa_sede, zona FROM enriched", *_ENRICHED)

@@ -158,7 +158,7 @@ SQL: dict[str, str] = {
         y AS (SELECT *, count(*) OVER (PARTITION BY grp) AS variants FROM x QUALIFY row_number() OVER (PARTITION BY grp ORDER BY d DESC, n DESC, records DESC, ord) = 1)
         SELECT grp, path, records, variants, CASE WHEN records < 40 THEN 'low' WHEN records > 65 THEN 'high' ELSE 'ok' END AS anomaly FROM y""",
     "sample_top_n": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE l_returnflag WHEN 'R' THEN 0 WHEN 'N' THEN 1 ELSE 2 END, l_linenumber) <= 3",
-    "batch_chunks": "WITH x AS (SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 500) AS BIGINT) AS batch FROM orders) SELECT batch, count(*) AS n, min(o_orderkey) AS first, max(o_orderkey) AS last FROM x GROUP BY batch",
+    "batch_chunks": "WITH x AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders) SELECT CAST(floor(place / 500) AS BIGINT) AS batch, count(*) AS n, min(o_orderkey) AS first, max(o_orderkey) AS last, CAST(sum(o_custkey) AS BIGINT) AS customers, max(place) AS last_place FROM x GROUP BY 1",
     "reconcile_full_outer": with_views("SELECT * FROM survived", *_SURVIVED),
     "reconcile_stats": with_views("SELECT count(*) AS total, count(*) FILTER (fuente = 'ambos') AS en_ambos, count(*) FILTER (fuente = 'base') AS solo_base, count(*) FILTER (fuente = 'control') AS solo_control, count(*) FILTER (cambios > 0) AS con_cambios, count(*) FILTER (fuente = 'ambos' AND cambios = 0) AS sin_cambios, count(*) FILTER (nombre_nuevo) AS nombres_completados, count(*) FILTER (escuela_nueva) AS escuelas_completadas, count(*) FILTER (pagina_nueva) AS paginas_corregidas, count(*) FILTER (conflicto <> '') AS conflictos FROM survived", *_SURVIVED),
     "key_set_diff": with_views("SELECT coalesce(a.dni, b.dni) AS dni, CASE WHEN a.dni IS NULL THEN 'right' WHEN b.dni IS NULL THEN 'left' ELSE 'both' END AS side FROM (SELECT DISTINCT dni FROM v_roster_a WHERE dni <> '') a FULL JOIN (SELECT DISTINCT dni FROM v_roster_b WHERE dni <> '') b ON a.dni = b.dni"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +12,13 @@ from rosterloom.functions.text import has_junk, has_problem_note, map_url, name_
 from rosterloom.operators import compare, dedup, layout, lookup, parse, reconcile, search, summaries, tasks
 from rosterloom.plans import views as v
 from rosterloom.sources import readers
+from rosterloom.sources.shared import shared_dir
 from rosterloom.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Tasks that the dashboard counts.
+TASKS = 500
 
 
 def query(f: Query) -> Query:
@@ -135,8 +136,9 @@ def sample_top_n(spark, sf_dir):
 
 @query
 def batch_chunks(spark, sf_dir):
-    x = tasks.chunked(v.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
-    return x.groupBy("batch").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+    """Whole orders in batches of 500 by key, and a batch's size, ends and sum of customers."""
+    x = tasks.chunked(v.table(spark, sf_dir, "orders"), "o_orderkey")
+    return x.groupBy("batch").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"), F.sum("o_custkey").alias("customers"), F.max("place").alias("last_place"))
 
 
 # reconciling
@@ -372,7 +374,7 @@ def feed_latest_state(spark, sf_dir):
 
 @query
 def dashboard_status(spark, sf_dir):
-    return live.dashboard(live.latest_states(v.feed(spark, sf_dir)), 500)
+    return live.dashboard(live.latest_states(v.feed(spark, sf_dir)), TASKS)
 
 
 @query
@@ -380,14 +382,26 @@ def leaderboard(spark, sf_dir):
     return live.leaderboard(live.latest_states(v.feed(spark, sf_dir)))
 
 
+def _feed_stream(spark, sf_dir):
+    schema = v.table(spark, sf_dir, "events").schema
+    stream = readers.change_stream(spark, sf_dir, "events.parquet", schema) if not v.is_folder(spark, sf_dir, "events") else readers.change_stream(spark, f"{sf_dir}/events.parquet", "*.parquet", schema)
+    return stream.selectExpr(*(f"{e} AS {n}" for n, e in v.FEED.items()))
+
+
 @query
 def status_stream(spark, sf_dir):
-    """feed_latest_state as a stream, to its present end."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="rosterloom-")
-    top = f"{top.rstrip('/')}/status-{uuid.uuid4().hex}"
-    schema = v.table(spark, sf_dir, "events").schema
-    stream = readers.change_stream(spark, sf_dir, "events.parquet", schema).selectExpr(*(f"{e} AS {n}" for n, e in v.FEED.items()))
-    return live.upsert_states(stream, f"{top}/states", f"{top}/checkpoint")()
+    """feed_latest_state as a stream, to its present end, and again without news: the second run's states."""
+    top = shared_dir(spark, "status")
+    live.upsert_states(_feed_stream(spark, sf_dir), f"{top}/states", f"{top}/checkpoint")
+    return live.upsert_states(_feed_stream(spark, sf_dir), f"{top}/states", f"{top}/checkpoint")()
+
+
+@query
+def dashboard_stream(spark, sf_dir):
+    """The dashboard after the last micro-batch of the feed."""
+    top = shared_dir(spark, "dashboard")
+    shown = live.live_dashboard(_feed_stream(spark, sf_dir), f"{top}/states", f"{top}/checkpoint", TASKS)
+    return shown.groupBy().agg(F.max_by(F.struct(*(c for c in shown.columns if c != "batch")), "batch").alias("_s")).select("_s.*")
 
 
 @query

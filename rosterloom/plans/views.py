@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rosterloom.sources.shared import _fs
+
 ROSTER_A = {
     "ord": "CAST(c_custkey AS BIGINT)",
     "dni": "CASE WHEN c_custkey % 17 = 0 THEN '' ELSE lpad(CAST(10000000 + c_custkey AS STRING), 8, '0') END",
@@ -117,6 +119,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def is_folder(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    """Whether a table is a folder of files."""
+    fs, at = _fs(spark, f"{sf_dir}/{name}.parquet")
+    return fs.getFileStatus(at).isDirectory()
+
+
 def _of(df: DataFrame, fields: dict[str, str]) -> DataFrame:
     return df.selectExpr(*(f"{e} AS {n}" for n, e in fields.items()))
 

@@ -1,13 +1,15 @@
 """The history query by brute force, the command line, districts and many sites."""
 
+import math
 import os
+import random
 from difflib import SequenceMatcher
 
 import pytest
 
 from rosterloom import cli
 from rosterloom.functions.rules import BASE_RULES, rules_for
-from rosterloom.operators import lookup
+from rosterloom.operators import dedup, lookup, tasks
 from rosterloom.plans import queries, views
 from rosterloom.sources import readers
 
@@ -52,8 +54,67 @@ def test_other_districts_have_the_base_rules():
     assert rules_for("001") == rules_for() == BASE_RULES and len(rules_for("069")) > len(BASE_RULES)
 
 
-def test_nearest_of_many_sites(spark):
-    sites = spark.createDataFrame([(i, i, float(i % 7), float(i % 11)) for i in range(60)], "ord long, mesa long, lat double, lng double")
-    points = spark.createDataFrame([(i, i / 10, i / 7) for i in range(40)], "id long, lat double, lng double")
-    one, many = (sorted(map(tuple, lookup.nearest_site(points, sites, most).collect())) for most in (1000, 9))
-    assert one == many and len(one) == 40
+def brute_nearest(points, sites):
+    def km(a, b):
+        la, lb = math.radians(a[0]), math.radians(b[0])
+        h = math.sin((lb - la) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return 2 * 6371 * math.atan2(math.sqrt(h), math.sqrt(1 - h))
+
+    return {i: min((km((lat, lng), (s[2], s[3])), s[0]) for s in sites) for i, lat, lng in points}
+
+
+@pytest.mark.parametrize("leaf", [2, 64])
+def test_nearest_site_by_the_tree(spark, monkeypatch, leaf):
+    """Clusters, one place many times, poles, the date line and points far from all: equal to brute force, ties to the first."""
+    monkeypatch.setattr(lookup, "LEAF", leaf)
+    rng = random.Random(3)
+    sites = [(i, 1000 + i, rng.gauss(-34.6, 0.05), rng.gauss(-58.5, 0.05)) for i in range(300)]
+    sites += [(300 + i, 1300 + i, -34.6, -58.5) for i in range(50)]
+    sites += [(400, 1, 89.9, 10.0), (401, 2, 89.9, -170.0), (402, 3, 0.0, 179.9), (403, 4, 0.0, -179.8), (404, 5, -90.0, 0.0), (405, 6, 10.0, 20.0), (406, 7, 10.0, 20.0)]
+    points = [(i, rng.gauss(-34.6, 0.2), rng.gauss(-58.5, 0.2)) for i in range(150)]
+    points += [(200, 90.0, 0.0), (201, 0.0, 180.0), (202, 0.1, -179.95), (203, -89.99, 77.0), (204, 48.0, 2.0), (205, -34.6, -58.5), (206, 10.0, 20.0), (207, 35.0, 121.5)]
+    got = lookup.nearest_site(spark.createDataFrame([*points, (208, None, 1.0)], "id long, lat double, lng double"), spark.createDataFrame(sites, "ord long, mesa long, lat double, lng double")).collect()
+    want, by_ord = brute_nearest(points, sites), {s[0]: s[1] for s in sites}
+    assert len(got) == len(points) + 1 and {r["id"]: r["mesa"] for r in got if r["id"] != 208} == {i: by_ord[o] for i, (_, o) in want.items()}
+    assert all(r["km"] == pytest.approx(want[r["id"]][0], abs=1e-6) for r in got if r["id"] != 208) and next(r for r in got if r["id"] == 208)["mesa"] is None
+
+
+def test_nearest_of_many_sites_has_no_product(spark):
+    sites = spark.range(20_000).selectExpr("id AS ord", "id AS mesa", "(id % 173) / 3.0 - 28 AS lat", "(id * 7 % 359) / 2.0 - 90 AS lng")
+    points = spark.range(3000).selectExpr("id", "(id % 97) / 2.0 - 24 AS lat", "(id * 11 % 301) / 2.0 - 75 AS lng")
+    out = lookup.nearest_site(points, sites)
+    plan = out._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    got = {r["id"]: (r["km"], r["mesa"]) for r in out.collect()}
+    own = [tuple(r) for r in points.where("id % 101 = 0").collect()]
+    want = brute_nearest(own, [tuple(r) for r in sites.collect()])
+    assert len(got) == 3000 and all(got[i][0] == pytest.approx(km, abs=1e-6) and got[i][1] == o for i, (km, o) in want.items())
+
+
+def ordered(df, *by):
+    return [r["place"] for r in df.orderBy(*by).select("place").collect()]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_places_of_wide_rows(spark, adaptive):
+    """Each place once, in order, and no row lost: wide rows, one key of a third of them, repeats of whole rows, nulls."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        n = 300_000
+        df = spark.range(n).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 1000 = 1 THEN NULL ELSE (id * 7919) % 100003 END AS k", "repeat('x', 64) AS pad", "id % 5 AS other")
+        out = dedup.places(df, "k")
+        s = out.selectExpr("count(*) AS n", "count(DISTINCT place) AS d", "min(place) AS low", "max(place) AS high").first()
+        assert tuple(s) == (n, n, 0, n - 1)
+        wrong = out.selectExpr("k", "lag(k) OVER (ORDER BY place) AS last").where("last > k OR (k IS NULL AND last IS NOT NULL)").count()
+        assert wrong == 0 and out.columns == ["k", "pad", "other", "place"]
+        if os.path.isdir(SF):
+            orders = spark.read.parquet(f"{SF}/orders.parquet")
+            again = tasks.chunked(orders, "o_orderkey", 7)
+            assert ordered(again, "o_orderkey") == list(range(orders.count())) and again.drop("place", "batch").exceptAll(orders).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_places_of_nothing(spark):
+    assert dedup.places(spark.createDataFrame([], "k long"), "k").count() == 0
