@@ -21,6 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterloom.sources.shared import delete, shared_dir
+
 CHUNK_BYTES = 8 << 20
 #: Arrow batches of about this many bytes go to the tasks that make chunks.
 BATCH_BYTES = 4 << 20
@@ -85,8 +87,9 @@ def runs(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa
 def chunk_table(df: DataFrame, text: str, about: Callable[[pa.Table], dict[str, list]], schema: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(chunk long, docs binary, and `schema`) of df: `about` gives the columns of `schema` for a chunk, and `docs` if that is not to be the documents as they are.
 
-    The chunks are fixed by being written: later steps, however often they run, see the same ones. As many buckets as
-    spark.sql.shuffle.partitions, so joins on the chunk keep the table where it is.
+    The chunks are fixed by being written, to the shared folder: later steps, however often they run, see the same ones. As
+    many buckets as spark.sql.shuffle.partitions, so joins on the chunk keep the table where it is. The catalog has the table
+    only while it is written, as buckets can't be written otherwise; the files go with `forget`, or with the session.
     """
     spark = df.sparkSession
     full = f"chunk long, docs binary, {schema}"
@@ -105,18 +108,19 @@ def chunk_table(df: DataFrame, text: str, about: Callable[[pa.Table], dict[str,
             yield pa.RecordBatch.from_arrays([pa.array(columns.pop(f.name), type=f.type) for f in arrow], schema=arrow)
             give_back()
 
-    name = f"rosterloom_{uuid.uuid4().hex}"
+    name, path = f"rosterloom_{uuid.uuid4().hex}", shared_dir(spark, "chunks")
     made()
-    _MADE.names.append(name)
+    _MADE.paths.append(path)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     limit = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(limit)
     spark.conf.set(limit, min(int(before), BATCH_BYTES) if before.isdigit() and int(before) > 0 else BATCH_BYTES)  # long texts shouldn't come in thousands
     try:
-        df.mapInArrow(run, types).write.option("compression", "zstd").bucketBy(buckets, "chunk").saveAsTable(name, format="parquet")
+        df.mapInArrow(run, types).write.option("compression", "zstd").option("path", path).bucketBy(buckets, "chunk").saveAsTable(name, format="parquet")
+        return spark.table(name)
     finally:
         spark.conf.set(limit, before)
-    return spark.table(name)
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
 
 
 # sorted numbers, small ------------------------------------------------------------------------------
@@ -143,16 +147,16 @@ def unrising(data: bytes) -> np.ndarray:
 
 def made() -> int:
     """How many chunk tables this thread has made so far."""
-    return len(vars(_MADE).setdefault("names", []))
+    return len(vars(_MADE).setdefault("paths", []))
 
 
 def forget(spark: SparkSession, since: int = 0) -> int:
-    """Drops the chunk tables that this thread has made since `made()` said so, once nothing that was made from them will be read again; how many there were."""
+    """Deletes the chunk tables that this thread has made since `made()` said so, once nothing that was made from them will be read again; how many there were."""
     made()
-    names, _MADE.names[since:] = _MADE.names[since:], []
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-    return len(names)
+    paths, _MADE.paths[since:] = _MADE.paths[since:], []
+    for path in paths:
+        delete(spark, path)
+    return len(paths)
 
 
 def take_rows(chunks: DataFrame, kept: DataFrame, like: DataFrame) -> DataFrame:

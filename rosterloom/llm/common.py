@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rosterloom.sources.shared import shared_dir, written
+
+__all__ = ["WORD", "chunks", "col", "content_key", "grams_of", "lower_ascii", "mix", "shared_dir", "text_of", "words_of", "written"]
+
 #: A word byte of UTF-8: a digit, a lower-case letter or any byte of a character outside ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -33,24 +34,6 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all machines share; only a session on one machine (local) may leave that unset."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        top = "file://" + tempfile.mkdtemp(prefix="rosterloom-")
-    return f"{top.rstrip('/')}/llm-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, *parts: str) -> DataFrame:
-    """df as a table in the shared folder: later steps read it instead of running its plan again, and lost executors take nothing with them."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    (df.write.option("compression", "zstd").partitionBy(*parts) if parts else df.write.option("compression", "zstd")).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 # Word and n-gram hashing on the UTF-8 bytes of a batch of texts ---------------------------------
 
 _M1, _M2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)

@@ -3,12 +3,14 @@
 `to_mpeg` stores bytes without loss in a stream of MPEG-1 Layer III frames: each frame is a header, its CRC-16, an
 empty side information block (silence) and the bytes as ancillary data. The last frame takes the lowest bitrate that
 fits, so the stream has a variable bitrate and starts with a table frame (frame count, byte count, seek points) after
-an ID3v2 tag. `read_mpeg` reads any such stream: it parses the tag and the table, finds frame headers again after junk,
-verifies each frame's CRC, and gives the exact duration and the byte offset of every frame.
+an ID3v2 tag. `read_mpeg` reads Layer III streams of MPEG-1, MPEG-2 and MPEG-2.5: it parses ID3v2 tags (with extended header
+and footer) and the table (Xing, Info or VBRI), finds frame headers again after junk, verifies each frame's CRC, and gives
+the exact duration and the byte offset of every frame. Frames of the free format, whose length no header has, are junk.
 
 - A null text is empty bytes. Equal texts give equal streams. Rows pass one by one; ids may be null or repeated.
 - Very long texts make more frames; memory is one Arrow batch and one stream.
 - A stream without frames (empty, junk, null) reads as no frames, an empty payload and duration 0.
+- An empty table gives no rows. Columns other than the id and the text (or stream) aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,11 +29,15 @@ from pyspark.sql import DataFrame
 
 from rosterloom.llm.common import col, text_of
 
-# Fixed values of the format: MPEG-1 Layer III, kbit/s and Hz by index.
+# Fixed values of the format: Layer III, kbit/s and Hz by index, samples of a frame and bytes of side information.
 KBITS = (0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320)
+KBITS_2 = (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160)  # MPEG-2 and 2.5
 HERTZ = (44100, 48000, 32000)
 SAMPLES = 1152
-SIDE = {False: 32, True: 17}  # bytes of side information: stereo, mono
+SIDE = {False: 32, True: 17}  # stereo, mono
+SIDE_2 = {False: 17, True: 9}
+#: By the version's two bits: the divisor of the sample rate.
+VERSIONS = {3: 1, 2: 2, 0: 4}
 
 _HZ = 2  # 32 kHz has the longest frames
 _MONO = 0xC0
@@ -120,29 +126,70 @@ class Stream:
     payload: bytes = b""
 
 
-def _header(data: bytes, at: int) -> tuple[int, int, int, bool, bool] | None:
-    """Frame length, kbit/s, Hz, mono and whether it has a CRC, if a Layer III header is there."""
-    if at + 4 > len(data) or data[at] != 0xFF or data[at + 1] & 0xFE != 0xFA:
+@dataclass(frozen=True)
+class Header:
+    length: int
+    kbits: int
+    hertz: int
+    samples: int
+    side: int  # bytes of side information
+    crc: bool
+
+
+def _header(data: bytes, at: int) -> Header | None:
+    """The Layer III header that is there, if one is."""
+    if at + 4 > len(data) or data[at] != 0xFF or data[at + 1] & 0xE6 != 0xE2:
         return None
-    k, hz = data[at + 2] >> 4, data[at + 2] >> 2 & 3
-    if k in (0, 15) or hz == 3 or data[at + 3] & 3 == 2:
+    version, k, hz = data[at + 1] >> 3 & 3, data[at + 2] >> 4, data[at + 2] >> 2 & 3
+    if version == 1 or k in (0, 15) or hz == 3 or data[at + 3] & 3 == 2:
         return None
-    return _frame_bytes(KBITS[k], HERTZ[hz], data[at + 2] >> 1 & 1), KBITS[k], HERTZ[hz], data[at + 3] >> 6 == 3, not data[at + 1] & 1
+    first, hertz, mono = version == 3, HERTZ[hz] // VERSIONS[version], data[at + 3] >> 6 == 3
+    kbits, samples = (KBITS if first else KBITS_2)[k], SAMPLES if first else SAMPLES // 2
+    length = samples // 8 * 1000 * kbits // hertz + (data[at + 2] >> 1 & 1)
+    return Header(length, kbits, hertz, samples, (SIDE if first else SIDE_2)[mono], not data[at + 1] & 1)
+
+
+def _synch(b: bytes) -> int:
+    return b[0] << 21 | b[1] << 14 | b[2] << 7 | b[3]
 
 
 def _fields(data: bytes) -> tuple[dict[str, str], int]:
-    """The user text of an ID3v2 tag, and where the tag ends."""
+    """The user text of an ID3v2.3 or 2.4 tag, and where the tag ends, its footer included."""
     if data[:3] != b"ID3" or len(data) < 10:
         return {}, 0
-    size = lambda b: b[0] << 21 | b[1] << 14 | b[2] << 7 | b[3]
-    end, at, out = min(len(data), 10 + size(data[6:10])), 10, {}
+    version, flags = data[3], data[5]
+    size = _synch if version >= 4 else lambda b: int.from_bytes(b, "big")  # of frames; that of the tag is always synchsafe
+    end, at, out = min(len(data), 10 + _synch(data[6:10])), 10, {}
+    if flags & 0x40 and at + 4 <= end:  # the extended header's size counts itself in 2.4 alone
+        at += size(data[at : at + 4]) + (0 if version >= 4 else 4)
     while at + 10 <= end and data[at : at + 1] != b"\0":
         n = size(data[at + 4 : at + 8])
-        if data[at : at + 4] == b"TXXX" and n:
+        if data[at : at + 4] == b"TXXX" and n and at + 10 + n <= end:
             k, _, v = data[at + 11 : at + 10 + n].partition(b"\0")
             out[k.decode("utf-8", "replace")] = v.decode("utf-8", "replace")
         at += 10 + n
-    return out, end
+    return out, min(len(data), end + (10 if flags & 0x10 else 0))
+
+
+def _table_frame(data: bytes, at: int, h: Header) -> dict | None:
+    """What a table frame says: Xing or Info after the side information, VBRI 32 bytes after the header."""
+    body = at + 4 + 2 * h.crc + h.side
+    if data[body : body + 4] in (b"Xing", b"Info"):
+        flags, i, out = struct.unpack_from(">I", data, body + 4)[0], body + 8, {}
+        for bit, name in ((1, "frames"), (2, "bytes")):
+            if flags & bit:
+                out[name] = struct.unpack_from(">I", data, i)[0]
+                i += 4
+        if flags & 4:
+            out["toc"] = list(data[i : i + 100])
+        return out
+    if data[at + 36 : at + 40] == b"VBRI" and h.length >= 62:
+        size, frames = struct.unpack_from(">II", data, at + 46)
+        entries, scale, width, per = struct.unpack_from(">HHHH", data, at + 54)
+        entries = min(entries, (h.length - 62) // width) if width else 0
+        steps = [int.from_bytes(data[at + 62 + i * width : at + 62 + (i + 1) * width], "big") * scale for i in range(entries)]
+        return {"frames": frames, "bytes": size, "steps": steps, "frames_per_step": per}
+    return None
 
 
 def read_mpeg(data: bytes | None) -> Stream:
@@ -153,8 +200,8 @@ def read_mpeg(data: bytes | None) -> Stream:
     while at < len(data):
         h = _header(data, at)
         # out of step, a header must be followed by another or the end, else the next byte is tried
-        followed = h and (synced or at + h[0] == len(data) or _header(data, at + h[0]) or data[at + h[0] : at + h[0] + 3] == b"TAG")
-        if not followed or at + h[0] > len(data):
+        followed = h and (synced or at + h.length == len(data) or _header(data, at + h.length) or data[at + h.length : at + h.length + 3] == b"TAG")
+        if not followed or at + h.length > len(data):
             if data[at : at + 3] == b"TAG" and len(data) - at == 128:
                 break
             nxt = data.find(b"\xff", at + 1)
@@ -162,27 +209,20 @@ def read_mpeg(data: bytes | None) -> Stream:
             out.junk += nxt - at
             at, synced = nxt, False
             continue
-        length, kbits, hertz, mono, crc = h
-        body = at + 4 + 2 * crc + SIDE[mono]
-        good = not crc or struct.unpack_from(">H", data, at + 4)[0] == frame_crc(data[at + 2 : at + 4] + data[at + 6 : body])
+        body = at + 4 + 2 * h.crc + h.side
+        good = not h.crc or struct.unpack_from(">H", data, at + 4)[0] == frame_crc(data[at + 2 : at + 4] + data[at + 6 : body])
         out.bad_crc += not good
-        if first and data[body : body + 4] in (b"Xing", b"Info"):
-            flags, i = struct.unpack_from(">I", data, body + 4)[0], body + 8
-            out.table = {}
-            for bit, name in ((1, "frames"), (2, "bytes")):
-                if flags & bit:
-                    out.table[name] = struct.unpack_from(">I", data, i)[0]
-                    i += 4
-            if flags & 4:
-                out.table["toc"] = list(data[i : i + 100])
+        table = _table_frame(data, at, h) if first else None
+        if table is not None:
+            out.table = table
         else:
             out.offsets.append(at)
-            out.kbits.append(kbits)
-            out.samples += SAMPLES
-            by_rate[hertz] += SAMPLES
-            parts.append(data[body : at + length] if good else b"")
+            out.kbits.append(h.kbits)
+            out.samples += h.samples
+            by_rate[h.hertz] += h.samples
+            parts.append(data[body : at + h.length] if good else b"")
         first, synced = False, True
-        at += length
+        at += h.length
     out.seconds = sum((Fraction(n, hz) for hz, n in by_rate.items()), Fraction(0))
     whole = b"".join(parts)
     n = out.fields.get("payload-bytes", "")

@@ -29,15 +29,19 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     since = made()
-    _, rows = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    forget(spark, since)  # rows are of written tables
+    try:
+        _, rows = near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    finally:
+        forget(spark, since)  # rows are of written tables
     return rows.select(F.col("id").alias("doc_id"), "n_words", "class_id", "class_size")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     since = made()
-    out = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
-    forget(spark, since)
+    try:
+        out = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    finally:
+        forget(spark, since)
     spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["first"].cast("string"), x["last"].cast("string"))), ",")
     return out.select("doc_id", "n_words", "n_repeated", spans.alias("spans"), "class_id", "class_size")
 
@@ -63,9 +67,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ledger of its own for each call: what another call has scanned doesn't count here."""
-    docs = table(spark, sf_dir, "documents")
-    out = secret_scan.findings(docs, secret_scan.update(docs, f"{shared_dir(spark)}-ledger"))
+    """The ledger in two versions of the documents, an earlier one with the lower half of the ids, then all: the second scan finds what the first one lacks.
+
+    The ledger is of this call alone: what another call has scanned doesn't count here."""
+    docs, path = table(spark, sf_dir, "documents"), shared_dir(spark, "ledger")
+    middle = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    if middle is not None:
+        secret_scan.update(docs.where(F.col("doc_id") <= middle), path)
+    out = secret_scan.findings(docs, secret_scan.update(docs, path))
     base = F.filter("found", lambda x: x["kind"].isin("assign", "access", "hex"))
     count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return out.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(secret_scan.span_text(base).cast("binary"), 256).alias("base_sha256"), secret_scan.span_text(F.col("found")).alias("spans"))
@@ -73,7 +82,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mpeg_media.media_columns(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "duration_s", "intact")
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "duration_s", "frame_offsets", "intact")
 
 
 def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

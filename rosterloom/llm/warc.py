@@ -239,6 +239,6 @@ def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
 def through_archives(pages: DataFrame, id: str = "page_id", html: str = "html", least: int = 1000, folder: str | None = None, range_bytes: int = 32 << 20) -> DataFrame:
     """Writes the pages to archives, then reads these back."""
     spark = pages.sparkSession
-    folder = folder or f"{shared_dir(spark)}-warc"
+    folder = folder or shared_dir(spark, "warc")
     archives = written(write_archives(plan_revisits(pages, id, html, least), folder))
     return read_archives(spark, archives, range_bytes)
