@@ -191,7 +191,8 @@ def hybrid_roll(spark, sf_dir):
 def fuzzy_names(spark, sf_dir):
     a = v.roster_a(spark, sf_dir).where("dni <> ''").select("dni", F.col("nombre").alias("a"))
     b = v.roster_b(spark, sf_dir).where("dni <> ''").select("dni", F.col("nombre").alias("b"))
-    return a.join(b, "dni").select("dni", name_key(F.col("b")).alias("key"), F.round(same_places(name_key(F.col("a")), name_key(F.col("b"))), 6).alias("share"), names_match(F.col("a"), F.col("b")).alias("same"))
+    keys = F.transform(F.array(F.struct(name_key(F.col("a")).alias("x"), name_key(F.col("b")).alias("y"))), lambda k: F.struct(k["y"].alias("key"), F.round(same_places(k["x"], k["y"]), 6).alias("share")))[0]
+    return a.join(b, "dni").select("dni", keys.alias("k"), names_match(F.col("a"), F.col("b")).alias("same")).select("dni", "k.key", "k.share", "same")
 
 
 @query

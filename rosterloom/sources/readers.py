@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions.rules import Rule, load_rules
 from rosterloom.functions.text import first_of, id_digits, leading_int
+from rosterloom.operators.dedup import keep_last
+from rosterloom.sources import ooxml
 
 ROLL_SCHEMA = "TIPO string, DNI string, APELLIDO_NOMBRE string, ESCUELA string, OBSERVACION string"
 #: Names that the same field has in different files, in the order in which they are looked for.
@@ -80,18 +82,38 @@ def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
 
 
 def sheets(spark: SparkSession, path: str, skip: tuple[str, ...] = ("RESUMEN",), first_row: int = 0, only: str | None = None) -> DataFrame:
-    """All sheets of a workbook, or the one named, as (sheet, pos, c0, c1, ...) strings, as many as the widest has. Workbooks are small; pandas needs a reader for them (openpyxl or xlrd), which may be absent."""
+    """All sheets of workbooks but those in `skip` (whatever their case), or the one named, as (file, sheet, sheet_no, pos, c0, c1, ...) strings.
+
+    As many columns as the widest row has; rows without any cell are left out, `pos` counts them from `first_row` on. Old
+    binary workbooks (xls) go through `old_sheets`.
+    """
+    x = ooxml.cells(spark, path).where(F.col("pos") >= first_row)
+    x = x.where(F.col("sheet") == only) if only else x.where(~F.upper("sheet").isin(*(s.upper() for s in skip))) if skip else x
+    return ooxml.rows(x.withColumn("pos", F.col("pos") - first_row))
+
+
+def old_sheets(spark: SparkSession, path: str, only: str | int = 0) -> DataFrame:
+    """One sheet of an old binary workbook as (sheet, pos, c0, c1, ...) strings; pandas needs xlrd for it, which may be absent. Such a sheet has 65,536 rows at most."""
     import pandas as pd
 
-    read = pd.read_excel(path, sheet_name=only, header=None, dtype=str)
-    found = {only: read} if only else {name: df for name, df in read.items() if name not in skip}
-    width = max([df.shape[1] for df in found.values()], default=0)
-    columns = [f"c{i}" for i in range(width)]
-    parts = [df.iloc[first_row:].reindex(columns=range(width)).set_axis(columns, axis=1).assign(sheet=name).assign(pos=range(max(0, len(df) - first_row))) for name, df in found.items()]
-    rows = pd.concat(parts)[["sheet", "pos", *columns]].astype(object) if parts else pd.DataFrame(columns=["sheet", "pos"])
+    df = pd.read_excel(path, sheet_name=only, header=None, dtype=str)
+    columns = [f"c{i}" for i in range(df.shape[1])]
+    rows = df.set_axis(columns, axis=1).assign(sheet=str(only), pos=range(len(df)))[["sheet", "pos", *columns]].astype(object)
     return spark.createDataFrame(rows.where(rows.notna(), None), ", ".join(["sheet string", "pos long", *(f"{c} string" for c in columns)]))
 
 
+def photos_by_page(prepared: DataFrame, files: DataFrame) -> DataFrame:
+    """page -> photo of prepared photos (folder, file, page, ord) whose file exists in files (path): the last of a page counts."""
+    x = prepared.withColumn("photo", F.concat_ws("/", "folder", "file"))
+    there = x.join(files.select(F.col("path").alias("photo")).distinct(), "photo", "left_semi")
+    return keep_last(there.where(F.col("page").isNotNull()).select("page", "photo", "ord"), ["page"], "ord").select("page", "photo")
+
+
+def with_photos(pages: DataFrame, photos: DataFrame) -> DataFrame:
+    """pages with photo (null without one) and has_photo."""
+    return pages.join(photos, "page", "left").withColumn("has_photo", F.col("photo").isNotNull())
+
+
 def rule_layers(*paths: str) -> tuple[Rule, ...]:
     """Rules from YAML files, the base first (needs PyYAML)."""
     import yaml

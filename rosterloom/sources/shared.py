@@ -83,12 +83,16 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
 
 
 def put_json(spark: SparkSession, path: str, value) -> None:
-    """A small document, there whole or not at all: written beside its place and renamed."""
+    put_bytes(spark, path, json.dumps(value).encode())
+
+
+def put_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, there whole or not at all: written beside its place and renamed."""
     fs, at = _fs(spark, path)
     _, beside = _fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(beside, True)
     try:
-        out.write(bytearray(json.dumps(value).encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
     if fs.exists(at):

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosterloom.sources import ooxml
+
 
 def to_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
@@ -20,19 +22,9 @@ def to_json_pages(records: DataFrame, stats: DataFrame | None, path: str) -> Non
     docs.select(F.to_json(F.struct(*docs.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
-def to_excel(df: DataFrame, path: str, most: int = 100_000) -> None:
-    """A workbook of at most `most` rows; needs openpyxl. Columns are as wide as their text, 50 at most."""
-    import pandas as pd
-
-    rows = df.limit(most + 1).toPandas()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} rows")
-    with pd.ExcelWriter(path) as out:
-        rows.to_excel(out, index=False)
-        sheet = next(iter(out.sheets.values()))
-        for i, c in enumerate(rows.columns):
-            width = min(50, max([len(str(c)), *rows[c].astype(str).str.len()]) + 2)
-            sheet.column_dimensions[sheet.cell(1, i + 1).column_letter].width = width
+def to_excel(df: DataFrame, path: str, most: int = 100_000, links: dict[str, str] | None = None, sheet: str = "Sheet1") -> None:
+    """A workbook of at most `most` rows. Columns are as wide as their text, 50 at most; `links` names for a column the one that holds its addresses."""
+    ooxml.write_workbook({sheet: df}, path, links, most)
 
 
 def split_rejects(parsed: DataFrame, good: Callable[[DataFrame], DataFrame], bad: Callable[[DataFrame], DataFrame], path: str) -> None:

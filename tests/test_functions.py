@@ -1,5 +1,6 @@
 """Scalar functions against literal cases."""
 
+import unicodedata
 from difflib import SequenceMatcher
 
 import pytest
@@ -7,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rosterloom.functions import numbers, rules, text
+from rosterloom.functions import decompose, numbers, rules, text
 from rosterloom.functions.ratio import sequence_ratio
 from rosterloom.operators import parse
 
@@ -135,3 +136,15 @@ def test_tiers(spark, n, tier):
     recs = spark.createDataFrame([(1, i, "DNI", "90000001", "ALFA", "X", 1, 0.7) for i in range(n)], "page long, pos long, tipo string, documento string, nombre string, destino string, mesa long, confianza double")
     row = parse.page_quality(recs).first()
     assert row["calidad"] == tier and row["completitud"] == round(n / 60 * 100, 1)
+
+
+def test_decomposition_of_every_code_point(spark):
+    """As the standard has it, for every code point of all planes, alone and in a text."""
+    points = [i for i in range(1, 0x110000) if not 0xD800 <= i < 0xE000]
+    runs = ["".join(map(chr, points[i : i + 64])) for i in range(0, len(points), 64)]
+    plain = lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(runs)], "i int, x string").select("i", decompose.without_marks(F.col("x"))).collect()
+    wrong = [runs[i] for i, t in got if t != "".join(map(plain, runs[i]))]
+    assert not wrong, wrong[:3]
+    cases = ["\ufb01n", "Ａｂ", "e\u0301a", "한글 각", "½", "", "plain", None, "Ⅷ ﷺ"]
+    assert values(spark, cases, decompose.without_marks) == [None if c is None else plain(c) for c in cases]
