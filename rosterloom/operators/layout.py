@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterloom.functions.text import strip
+
 
 def word_rows(words: DataFrame, tolerance: int = 20) -> DataFrame:
     """words (page, ord, y) with the row of each: a row starts where y is more than `tolerance` from the row's first word.
@@ -40,6 +42,36 @@ def reading_order(spans: DataFrame, *ties: str) -> DataFrame:
     return spans.withColumn("pos", F.row_number().over(Window.partitionBy("page").orderBy("col", "y", "x", *last)).cast("bigint") - 1)
 
 
+def text_spans(spans: DataFrame, size: float = 8.0, tolerance: float = 0.5, bold: str = "Hv") -> DataFrame:
+    """Raw spans (page, ord, page_width, text, size, font, x0, y0) that are text of that size, with bold, col, y, x and their place on the page (pos).
+
+    A span's font is bold if its name has `bold`; it is in the second column from the middle of the page on. Blank text and
+    text of other sizes goes. Spans in one place stay in their order (ord).
+    """
+    text = strip(F.col("text"))
+    fine = spans.where((text != "") & (F.abs(F.col("size") - size) < tolerance))
+    x = fine.select(
+        "page", "ord", text.alias("text"), F.contains("font", F.lit(bold)).alias("bold"),
+        F.when(F.col("x0") < F.col("page_width") / 2, 0).otherwise(1).cast("bigint").alias("col"), F.bround("y0", 1).alias("y"), F.bround("x0", 1).alias("x"),
+    )
+    return reading_order(x, "ord")
+
+
+def gap_columns(spans: DataFrame, least: float = 12.0) -> DataFrame:
+    """spans (page, x0, x1, ...) with `col`, the number from 0 of the column that each is in: columns are parted by gaps of at least `least` that no span of the page reaches into."""
+    w = Window.partitionBy("page").orderBy("x0", "x1")
+    reach = F.max("x1").over(w.rowsBetween(Window.unboundedPreceding, -1))  # how far the spans to the left go
+    starts = F.when(F.col("x0") - reach >= least, 1).otherwise(0)
+    return spans.withColumn("_starts", starts).withColumn("col", F.sum("_starts").over(w.rangeBetween(Window.unboundedPreceding, 0)).cast("bigint")).drop("_starts")
+
+
+def baselines(spans: DataFrame, tolerance: float = 2.0) -> DataFrame:
+    """spans (page, col, y, ...) with `line`, the number from 0 of the line of the column that each is on: a line ends where the next span is more than `tolerance` lower."""
+    w = Window.partitionBy("page", "col").orderBy("y")
+    lower = F.when(F.col("y") - F.lag("y").over(w) > tolerance, 1).otherwise(0)
+    return spans.withColumn("_lower", lower).withColumn("line", F.sum("_lower").over(w.rangeBetween(Window.unboundedPreceding, 0)).cast("bigint")).drop("_lower")
+
+
 def row_texts(words: DataFrame, rows: DataFrame) -> DataFrame:
     """The text of each row, its words by x."""
     x = words.join(rows, ["page", "ord"])

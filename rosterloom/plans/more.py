@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.functions import numbers, text
-from rosterloom.operators import compare, layout, lookup, parse, reconcile, search, summaries, tasks
+from rosterloom.operators import cascade, compare, layout, lookup, parse, reconcile, search, summaries, tasks
 from rosterloom.plans import oracle
 from rosterloom.plans import views as v
 from rosterloom.plans.oracle import _ENRICHED
 from rosterloom.plans.queries import QUERIES, enriched, query
 from rosterloom.plans.views import with_views
 from rosterloom.sources import readers
+from rosterloom.streaming import live
 
 SQL: dict[str, str] = {"dashboard_stream": oracle.SQL["dashboard_status"]}
 
@@ -243,4 +244,97 @@ def own_site_default(spark, sf_dir):
 
 SQL["own_site_default"] = with_views("SELECT ord, coalesce(mesa, pagina % 9 + 1) AS mesa_sede, zona FROM enriched", *_ENRICHED)
 
+
+class _Voter:
+    """An engine of the votes' table: its page's rows as text, its confidence by page."""
+
+    def __init__(self, rows: DataFrame, number: int) -> None:
+        self.name, self.rows = f"e{number}", rows.where(F.col("engine_no") == number)
+
+    def is_available(self) -> bool:
+        return True
+
+    def recognise(self, pages: DataFrame) -> DataFrame:
+        line = F.concat_ws("|", *(F.col(c).cast("string") for c in ("ord", "tipo", "documento", "nombre", "destino", "mesa", "confianza")))
+        texts = self.rows.groupBy("page").agg(F.avg("confianza").alias("confianza"), F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("text"))  # a page's rows
+        return texts.join(pages.select("page"), "page", "left_semi")
+
+
+def _read_votes(texts: DataFrame) -> DataFrame:
+    part = F.split(F.col("line"), "[|]", -1)
+    x = texts.select("page", F.explode(F.split("text", "\n", -1)).alias("line"))
+    return x.select("page", part[0].cast("bigint").alias("pos"), part[1].alias("tipo"), part[2].alias("documento"), part[3].alias("nombre"), part[4].alias("destino"), part[5].cast("bigint").alias("mesa"), part[6].cast("double").alias("confianza"))
+
+
+@query
+def engine_cascade(spark, sf_dir):
+    """Three engines over pages of seven members: the second where the first is below 0.45, the third where it is below 0.4."""
+    rows = v.engines(spark, sf_dir).withColumn("page", F.floor(F.col("ord") / 7.0).cast("bigint"))
+    pages = v.roster_a(spark, sf_dir).select(F.floor(F.col("ord") / 7.0).cast("bigint").alias("page")).distinct()
+    out = cascade.cascade(pages, *(_Voter(rows, i) for i in (1, 2, 3)), fallback_below=0.45, vision_below=0.4, read=_read_votes)
+    return out.withColumn("confianza", F.round("confianza", 6))
+
+
+SQL["engine_cascade"] = with_views(
+    """SELECT page, used AS engine_used, pos, tipo, documento, nombre, destino, mesa, round(confianza, 6) AS confianza FROM (
+       SELECT page, used, ord AS pos, tipo, documento, nombre, destino, mesa, confianza FROM r WHERE n = 1
+       UNION ALL SELECT page, used, NULL, tipo, documento, nombre, destino, mesa, confianza FROM r WHERE n > 1 AND documento = ''
+       UNION ALL SELECT page, used, NULL, (SELECT t FROM unnest(list(tipo ORDER BY engine_no)) AS u(t) GROUP BY t ORDER BY count(*) DESC, min(list_position(list(tipo ORDER BY engine_no), t)) LIMIT 1),
+              documento, arg_max(nombre, confianza * 10 - engine_no / 10), arg_max(destino, confianza * 10 - engine_no / 10),
+              coalesce((SELECT m FROM unnest(list(mesa ORDER BY engine_no)) AS u(m) WHERE m > 0 GROUP BY m ORDER BY count(*) DESC, min(list_position(list(mesa ORDER BY engine_no), m)) LIMIT 1), 0), avg(confianza)
+       FROM r WHERE n > 1 AND documento <> '' GROUP BY page, used, documento)""",
+    "g AS (SELECT CAST(floor(ord / 7.0) AS BIGINT) AS page, avg(confianza) AS c FROM v_engines WHERE engine_no = 1 GROUP BY 1)",
+    "k AS (SELECT page, CASE WHEN c < 0.4 THEN 3 WHEN c < 0.45 THEN 2 ELSE 1 END AS n FROM g)",
+    "r AS (SELECT v.*, page, n, array_to_string(['e1', 'e2', 'e3'][1:n], '+') AS used FROM v_engines v JOIN k ON CAST(floor(v.ord / 7.0) AS BIGINT) = page WHERE engine_no <= n)",
+)
+
+
+def _spans(spark, sf_dir) -> DataFrame:
+    return v.table(spark, sf_dir, "lineitem").selectExpr(*(f"{e} AS {n}" for n, e in v.SPANS.items()))
+
+
+@query
+def span_order(spark, sf_dir):
+    """Raw spans of a page, of several sizes and fonts, in reading order."""
+    return layout.text_spans(_spans(spark, sf_dir)).select("page", "ord", "text", "bold", "col", "y", "x", "pos")
+
+
+SQL["span_order"] = with_views(
+    """SELECT page, ord, trim(text) AS text, contains(font, 'Hv') AS bold, CASE WHEN x0 < page_width / 2 THEN 0 ELSE 1 END AS col, y0 AS y, x0 AS x,
+       row_number() OVER (PARTITION BY page ORDER BY CASE WHEN x0 < page_width / 2 THEN 0 ELSE 1 END, y0, x0, ord) - 1 AS pos
+       FROM v_spans WHERE trim(text) <> '' AND abs(size - 8) < 0.5"""
+)
+
+
+@query
+def span_columns(spark, sf_dir):
+    """Columns of spans from the gaps between them, and the lines in each."""
+    x = layout.gap_columns(_spans(spark, sf_dir).withColumn("x1", F.col("x0") + 40), 30)
+    return layout.baselines(x.withColumnRenamed("y0", "y"), 3).select("page", "ord", "col", "line")
+
+
+SQL["span_columns"] = with_views(
+    """SELECT page, ord, col, CAST(sum(lower) OVER (PARTITION BY page, col ORDER BY y0 RANGE UNBOUNDED PRECEDING) AS BIGINT) AS line
+       FROM (SELECT *, CASE WHEN y0 - lag(y0) OVER (PARTITION BY page, col ORDER BY y0) > 3 THEN 1 ELSE 0 END AS lower
+       FROM (SELECT *, CAST(sum(starts) OVER (PARTITION BY page ORDER BY x0 RANGE UNBOUNDED PRECEDING) AS BIGINT) AS col
+       FROM (SELECT *, CASE WHEN x0 - max(x0 + 40) OVER (PARTITION BY page ORDER BY x0 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= 30 THEN 1 ELSE 0 END AS starts FROM v_spans)))"""
+)
+
+
+@query
+def task_lifecycle(spark, sf_dir):
+    """Each change of a task, the state that it met, and whether it may follow that."""
+    return live.lifecycle(v.feed(spark, sf_dir).withColumn("task_id", F.col("ord") - F.col("ord") % 5).select("task_id", "ord", "status")).select("task_id", "ord", "before", "legal")
+
+
+SQL["task_lifecycle"] = with_views(
+    """SELECT task_id, ord, before, legal FROM steps""",
+    "c AS (SELECT ord - ord % 5 AS task_id, ord, status, row_number() OVER (PARTITION BY ord - ord % 5 ORDER BY ord) AS i FROM v_feed)",
+    f"m(a, b) AS (VALUES {', '.join(f"('{a}', '{b}')" for a, b in live.MOVES)})",
+    """steps AS (WITH RECURSIVE s AS (
+       SELECT task_id, ord, i, '' AS before, status = '' OR ('', status) IN (SELECT (a, b) FROM m) AS legal, CASE WHEN ('', status) IN (SELECT (a, b) FROM m) THEN status ELSE '' END AS now FROM c WHERE i = 1
+       UNION ALL SELECT c.task_id, c.ord, c.i, s.now, c.status = s.now OR (s.now, c.status) IN (SELECT (a, b) FROM m), CASE WHEN (s.now, c.status) IN (SELECT (a, b) FROM m) THEN c.status ELSE s.now END
+       FROM s JOIN c ON c.task_id = s.task_id AND c.i = s.i + 1) SELECT * FROM s)""",
+)
+
 __all__ = ["QUERIES", "SQL"]

@@ -133,6 +133,7 @@ _SNAP = [
 ]
 
 _STATES = ["states AS (SELECT * FROM (SELECT * FROM v_feed QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY ord DESC) = 1) WHERE status <> 'removed')"]
+_TASKS = "(SELECT count(DISTINCT task_id) FROM v_feed)"
 _DONE = "count(*) FILTER (status = 'done')"
 _HAV = "2 * 6371.0 * atan2(sqrt(a), sqrt(1 - a))"
 
@@ -232,9 +233,9 @@ SQL: dict[str, str] = {
     "feed_latest_state": with_views("SELECT task_id, ord, status, volunteer_id, total_records, volunteer_name FROM states", *_STATES),
     "status_stream": with_views("SELECT task_id, ord, status, volunteer_id, total_records, volunteer_name FROM states", *_STATES),
     "dashboard_status": with_views(
-        f"""SELECT CAST(500 AS BIGINT) AS total, {_DONE} AS done, count(*) FILTER (status = 'assigned') AS assigned, 500 - {_DONE} - count(*) FILTER (status = 'assigned') AS pending, CAST(floor({_DONE} / 500 * 100 + 0.5) AS BIGINT) AS pct, round_even({_DONE} / 500 * 100, 2) AS completion_rate,
+        f"""SELECT {_TASKS} AS total, {_DONE} AS done, count(*) FILTER (status = 'assigned') AS assigned, {_TASKS} - {_DONE} - count(*) FILTER (status = 'assigned') AS pending, CAST(floor({_DONE} / {_TASKS} * 100 + 0.5) AS BIGINT) AS pct, round_even({_DONE} / {_TASKS} * 100, 2) AS completion_rate,
             CAST(coalesce(sum(total_records) FILTER (status = 'done'), 0) AS BIGINT) AS records_done, count(DISTINCT volunteer_id) FILTER (status = 'done') AS volunteers,
-            CAST(floor((500 - {_DONE}) * 3 / greatest(count(DISTINCT volunteer_id) FILTER (status = 'done'), 1) + 0.5) AS BIGINT) AS eta_minutes FROM states""",
+            CAST(floor(({_TASKS} - {_DONE}) * 3 / greatest(count(DISTINCT volunteer_id) FILTER (status = 'done'), 1) + 0.5) AS BIGINT) AS eta_minutes FROM states""",
         *_STATES,
     ),
     "leaderboard": with_views("SELECT volunteer_id, name, n, records, round(n / max(n) OVER (), 6) AS share, row_number() OVER (ORDER BY n DESC, volunteer_id) AS rank FROM (SELECT volunteer_id, arg_max(volunteer_name, ord) AS name, count(*) AS n, CAST(sum(total_records) AS BIGINT) AS records FROM states WHERE status = 'done' AND volunteer_id IS NOT NULL GROUP BY 1)", *_STATES),

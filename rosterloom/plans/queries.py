@@ -17,8 +17,6 @@ from rosterloom.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: Tasks that the dashboard counts.
-TASKS = 500
 
 
 def query(f: Query) -> Query:
@@ -373,9 +371,14 @@ def feed_latest_state(spark, sf_dir):
     return live.latest_states(v.feed(spark, sf_dir))
 
 
+def _tasks(spark, sf_dir) -> int:
+    """How many tasks the dashboard counts."""
+    return v.feed(spark, sf_dir).select("task_id").distinct().count()
+
+
 @query
 def dashboard_status(spark, sf_dir):
-    return live.dashboard(live.latest_states(v.feed(spark, sf_dir)), TASKS)
+    return live.dashboard(live.latest_states(v.feed(spark, sf_dir)), _tasks(spark, sf_dir))
 
 
 @query
@@ -401,7 +404,7 @@ def status_stream(spark, sf_dir):
 def dashboard_stream(spark, sf_dir):
     """The dashboard after the last micro-batch of the feed."""
     top = shared_dir(spark, "dashboard")
-    shown = live.live_dashboard(_feed_stream(spark, sf_dir), f"{top}/states", f"{top}/checkpoint", TASKS)
+    shown = live.live_dashboard(_feed_stream(spark, sf_dir), f"{top}/states", f"{top}/checkpoint", _tasks(spark, sf_dir))
     return shown.groupBy().agg(F.max_by(F.struct(*(c for c in shown.columns if c != "batch")), "batch").alias("_s")).select("_s.*")
 
 

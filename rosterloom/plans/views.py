@@ -77,13 +77,24 @@ HEADERS = {"page": "pagina", "pos": "CAST(0 AS BIGINT)", "line": "'MESA: ' || CA
 NOISE = {"page": "pagina", "pos": "(ord % 60) + 101", "line": "CASE WHEN ord % 3 = 0 THEN '|||---...===' WHEN ord % 3 = 1 THEN 'DNI 12x y' ELSE 'LC  ' || nombre END"}
 #: The feed's states by event type.
 FEED = {
-    "task_id": "CAST(event_id % 500 AS BIGINT)",
+    "task_id": "CAST(floor(event_id / 5.0) AS BIGINT)",
     "ord": "CAST(event_id AS BIGINT)",
     "status": "CASE event_type WHEN 'signup' THEN 'pending' WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'removed' ELSE 'assigned' END",
     "volunteer_id": "CAST(user_id AS BIGINT)",
     "total_records": "CAST(event_id % 61 AS BIGINT)",
     "volunteer_name": "'V' || CAST(user_id AS STRING) || '-' || CAST(event_id % 3 AS STRING)",
 }
+#: Raw spans of text: an order is a page, a line item a span.
+SPANS = {
+    "page": "l_orderkey",
+    "ord": "CAST(l_linenumber AS BIGINT)",
+    "page_width": "CAST(600 AS DOUBLE)",
+    "text": "CASE WHEN l_partkey % 11 = 0 THEN '  ' ELSE ' t' || CAST(l_partkey AS STRING) || ' ' END",
+    "size": "CASE WHEN l_suppkey % 7 = 0 THEN CAST(12 AS DOUBLE) WHEN l_suppkey % 3 = 0 THEN CAST(8.25 AS DOUBLE) ELSE CAST(8 AS DOUBLE) END",
+    "font": "CASE WHEN l_partkey % 2 = 0 THEN 'HvBold' ELSE 'Plain' END",
+    "x0": "CAST(l_partkey % 560 AS DOUBLE)",
+    "y0": "CAST(l_quantity AS DOUBLE) * 10 + CAST(l_linenumber AS DOUBLE)",
+}
 CODES = ("MS", "PP", "JI", "EE")
 
 
@@ -101,6 +112,7 @@ CTES = {
     "v_sites": f"SELECT {_sql(SITES)} FROM nation JOIN region ON n_regionkey = r_regionkey",
     "v_site_codes": f"SELECT {_sql(SITE_CODES)} FROM part CROSS JOIN (VALUES {_CODES}) AS k(code)",
     "v_ocr_lines": f"SELECT {_sql(OCR_LINES)} FROM v_roster_a UNION ALL SELECT DISTINCT {_sql(HEADERS)} FROM v_roster_a UNION ALL SELECT {_sql(NOISE)} FROM v_roster_a",
+    "v_spans": f"SELECT {_sql(SPANS)} FROM lineitem",
     "v_feed": f"SELECT {_sql(FEED)} FROM events",
 }
 

@@ -56,7 +56,8 @@ def union_variants(*variants: DataFrame) -> DataFrame:
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, page and text of each text file, whole; page from the last number of its name."""
-    x = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # Spark has blanks and the like as in an address
+    x = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(name.alias("file"), F.col("value").alias("text"))
     return x.withColumn("page", page_of(F.col("file")))
 
 

@@ -50,6 +50,26 @@ def test_command_line(spark, tmp_path):
         cli.arguments(["text", "x", "-f", "pdf"])
 
 
+def test_takes_in_runs(spark, tmp_path):
+    """Two takes of each page first, then the rest, and the best of each: a take is read once."""
+    src = tmp_path / "in"
+    src.mkdir()
+    line = "DNI 1234567{} GOMEZ ANA  0-069-MS-0012 5\n"
+    for name, n in (("pag_0001 (1)", 1), ("pag_0001 (2)", 3), ("pag_0001 (3)", 2), ("pag_0002", 1), ("pag_0002 (4)", 0), ("other", 5)):
+        (src / f"{name}.txt").write_text("".join(line.format(i) for i in range(n)) or "nothing here")
+    out = str(tmp_path / "out")
+    cli.main(["sample", str(src), "-o", out, "-n", "1"])
+    done = lambda: sorted(r["page"] for r in cli.PageCache(f"{out}/cache").done(spark, "string").collect())
+    assert done() == ["pag_0001 (1).txt", "pag_0002.txt"]
+    cli.main(["full", str(src), "-o", out])
+    assert len(done()) == 5 and len(set(done())) == 5
+    cli.main(["full", str(src), "-o", out])
+    assert len(done()) == 5
+    cli.main(["combine", str(src), "-o", out])
+    got = readers.csv_strings(spark, f"{out}/combined").collect()
+    assert sorted((r["group"], r["source_file"], r["documento"]) for r in got) == [("pag_0001", "pag_0001 (2).txt", f"1234567{i}") for i in range(3)] + [("pag_0002", "pag_0002.txt", "12345670")]
+
+
 def test_other_districts_have_the_base_rules():
     assert rules_for("001") == rules_for() == BASE_RULES and len(rules_for("069")) > len(BASE_RULES)
 
