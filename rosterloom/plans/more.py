@@ -10,7 +10,7 @@ from rosterloom.operators import cascade, compare, layout, lookup, parse, reconc
 from rosterloom.plans import oracle
 from rosterloom.plans import views as v
 from rosterloom.plans.oracle import _ENRICHED
-from rosterloom.plans.queries import QUERIES, enriched, query
+from rosterloom.plans.queries import QUERIES, codes_by_site, enriched, query
 from rosterloom.plans.views import with_views
 from rosterloom.sources import readers
 from rosterloom.streaming import live
@@ -62,8 +62,7 @@ SQL["kept_enrichment"] = with_views(
 
 @query
 def code_owner(spark, sf_dir):
-    codes = lookup.code_map(v.site_codes(spark, sf_dir)).groupBy("mesa").agg(F.collect_list("code").alias("codes"))
-    return search.site_of_code(codes.withColumn("ord", F.col("mesa")), "ms 0012").select("mesa")
+    return search.site_of_code(codes_by_site(spark, sf_dir).withColumn("ord", F.col("mesa")), "ms 0012").select("mesa")
 
 
 SQL["code_owner"] = with_views("SELECT mesa FROM (SELECT mesa FROM v_site_codes WHERE escuela_raw IN ('MS12', 'MS 12') ORDER BY ord LIMIT 1)")

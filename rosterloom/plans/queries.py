@@ -24,6 +24,11 @@ def query(f: Query) -> Query:
     return f
 
 
+def codes_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites with their codes in arrays (mesa, codes), a site's in as many as keep each one short."""
+    return lookup.code_map(v.site_codes(spark, sf_dir)).groupBy("mesa", F.pmod(F.xxhash64("code"), F.lit(256)).alias("_block")).agg(F.collect_list("code").alias("codes")).drop("_block")
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.with_sites(lookup.assign_sites(v.roster_a(spark, sf_dir), v.site_codes(spark, sf_dir)), v.sites(spark, sf_dir))
 
@@ -314,8 +319,7 @@ def typeahead(spark, sf_dir):
 
 @query
 def distinct_codes(spark, sf_dir):
-    x = lookup.code_map(v.site_codes(spark, sf_dir)).groupBy("mesa").agg(F.collect_list("code").alias("codes"))
-    return search.distinct_codes(x)
+    return search.distinct_codes(codes_by_site(spark, sf_dir))
 
 
 # layout

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,13 +118,16 @@ def with_photos(pages: DataFrame, photos: DataFrame) -> DataFrame:
 
 
 def rule_layers(*paths: str) -> tuple[Rule, ...]:
-    """Rules from YAML files, the base first (needs PyYAML)."""
-    import yaml
-
+    """Rules from files, the base first: JSON by its name, else YAML (needs PyYAML). Rules are configuration, read on the driver."""
     layers = []
     for p in paths:
         with open(p, encoding="utf-8") as f:
-            layers.append(yaml.safe_load(f))
+            if p.endswith(".json"):
+                layers.append(json.load(f))
+            else:
+                import yaml
+
+                layers.append(yaml.safe_load(f))
     return load_rules(layers)
 
 

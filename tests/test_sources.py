@@ -195,3 +195,48 @@ def test_photos(spark):
     files = spark.createDataFrame([("a/1.jpg",), ("b/2.jpg",), ("b/3.jpg",)], "path string")
     got = readers.with_photos(spark.createDataFrame([(5,), (6,)], "page long"), readers.photos_by_page(prepared, files)).orderBy("page").collect()
     assert [tuple(r) for r in got] == [(5, "b/2.jpg", True), (6, None, False)]
+
+
+def test_typed_csv_and_nested_images(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("TIPO,DNI,APELLIDO_NOMBRE,ESCUELA,OBSERVACION\nDNI,00123456,\"GOMEZ, ANA\",0-069-MS-0001,\nLC,,SOSA,,x\n", encoding="utf-8")
+    got = readers.csv_typed(spark, f"{tmp_path}/r.csv", readers.ROLL_SCHEMA).orderBy("TIPO").collect()
+    assert [tuple(r) for r in got] == [("DNI", "00123456", "GOMEZ, ANA", "0-069-MS-0001", None), ("LC", None, "SOSA", None, "x")]
+    (tmp_path / "img/a/b").mkdir(parents=True)
+    for n in ("img/pag_0002 (2).jpg", "img/a/pag_0002 (1).JPG", "img/a/b/pag_0010.jpg", "img/a/notes.txt", "img/x.jpg"):
+        (tmp_path / n).write_bytes(b"x")
+    got = readers.images_by_page(spark, f"{tmp_path}/img").orderBy("group").collect()
+    assert [(r["group"], r["files"]) for r in got] == [("pag_0002", ["pag_0002 (1).JPG", "pag_0002 (2).jpg"]), ("pag_0010", ["pag_0010.jpg"])]
+    (tmp_path / "img/a/pag_7 +1.txt").write_text("seven")
+    assert {(r["file"], r["page"]) for r in readers.text_lines(spark, f"{tmp_path}/img/a/*.txt").collect()} == {("notes.txt", None), ("pag_7 +1.txt", 1)}
+
+
+def test_rules_from_files(tmp_path):
+    layers = [{"sanitize_rules": [{"pattern": "a(.)", "replacement": "$1"}]}, {"sanitize_rules": [{"pattern": "x.", "replacement": "y", "literal": True}]}]
+    for i, layer in enumerate(layers):
+        (tmp_path / f"{i}.json").write_text(json.dumps(layer))
+    rules = readers.rule_layers(f"{tmp_path}/0.json", f"{tmp_path}/1.json")
+    assert [r.pattern for r in rules] == ["a(.)", "x."]
+    yaml = pytest.importorskip("yaml")
+    (tmp_path / "r.yaml").write_text(yaml.safe_dump(layers[0]))
+    assert readers.rule_layers(f"{tmp_path}/r.yaml") == rules[:1]
+
+
+def test_clear_dry_run_rejects_and_classes(spark, tmp_path):
+    from rosterloom.operators import parse, tasks
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "n long, k string")
+    df.write.parquet(f"{tmp_path}/t")
+    rows, n = sinks.dry_run(df, 2)
+    assert len(rows) == 2 and n == 3 and spark.read.parquet(f"{tmp_path}/t").count() == 3
+    sinks.clear(df, f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 0 and spark.read.parquet(f"{tmp_path}/t").columns == ["n", "k"]
+    sinks.by_class(df, "k", f"{tmp_path}/k")
+    assert sorted(p.name for p in (tmp_path / "k").glob("k=*")) == ["k=a", "k=b"]
+    parsed = parse.parse_lines(spark.createDataFrame([(1, 0, "MESA: 3"), (1, 1, "DNI 90000001 ALFA UNO  0-069-MS-0042 5"), (1, 2, "DNI 12x y")], "page long, pos long, line string"))
+    sinks.split_rejects(parsed, parse.records, parse.rejects, f"{tmp_path}/s")
+    assert spark.read.parquet(f"{tmp_path}/s/records").count() == 1 and [r["partial"] for r in spark.read.parquet(f"{tmp_path}/s/rejects").collect()] == [True]
+    line = sinks.quality_report(parse.page_quality(parse.records(parsed))).first()["line"]
+    assert line == "page 0001: 1 records, 1 ids, 1.7% complete, MALA"
+    docs = tasks.task_documents(spark.createDataFrame([(1, 1, "9", "x", "", "ALTA", None, [])], "page long, pos long, dni string, nombre string, escuela string, prioridad string, prod struct<dni:string>, diff array<string>"))
+    light = tasks.without_records(docs)
+    assert light.columns == ["page", "total_records", "status"] and light.first()["status"] == "pending"
