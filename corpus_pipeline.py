@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.llm import byte_bpe, decontaminate, kn_quality, line_dedup, near_dup
 from rosterloom.llm.chunks import forget, made
-from rosterloom.sources.shared import scratch, shared_dir, written
+from rosterloom.sources.shared import delete, scratch, shared_dir, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -62,13 +62,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents, each written to the shared folder and read again by the next."""
-    docs = _table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        since, path = made(), shared_dir(spark, "stage")
-        with scratch(spark):  # what a stage writes on its way goes when its result is written, or when it fails
+    """All stages on documents, each written to the shared folder and read again by the next.
+
+    What a stage writes on its way, and what the one before it gave, goes when its result is written; the former also when it fails.
+    """
+    docs, last = _table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        since, path = made(), shared_dir(spark, name)
+        with scratch(spark):
             try:
                 docs = written(stage(spark, docs, sf_dir), path=path)
             finally:
                 forget(spark, since)
+        if last:
+            delete(spark, last)
+        last = path
     return docs

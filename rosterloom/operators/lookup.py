@@ -101,13 +101,23 @@ def _square(x: Column) -> Column:
     return x * x
 
 
+def _km_to(site: Column) -> Column:
+    """(km, ord, mesa) from the row's place to a site; null for a row without one."""
+    km = haversine_km(F.col("lat"), F.col("lng"), site["lat"], site["lng"])
+    return F.when(km.isNotNull(), F.struct(km.alias("km"), site["ord"].alias("ord"), site["mesa"].alias("mesa")))
+
+
 def nearest_site(points: DataFrame, sites: DataFrame) -> DataFrame:
     """points (id, lat, lng) with the nearest site (mesa, ord) and its distance in km, the first (ord) of equals; a point without coordinates, and any if there is no site, has none.
 
     Each point first goes down the tree to the site that it seems nearest to, which bounds its distance; then again, to all
     cubes whose boxes are within that bound, a few. So a point meets some leaves, however many sites there are and however
-    far off it is, and every level is a join on the cube.
+    far off it is, and every level is a join on the cube. Sites that one leaf holds need no tree: they are one row.
     """
+    if sites.limit(LEAF + 1).count() <= LEAF:
+        all_ = sites.where("lat IS NOT NULL AND lng IS NOT NULL").agg(F.collect_list(F.struct("ord", "mesa", "lat", "lng")).alias("sites"))
+        met = points.join(F.broadcast(all_)).select("id", "lat", "lng", F.array_min(F.transform("sites", _km_to)).alias("_near"))
+        return met.select("id", "lat", "lng", F.col("_near.mesa").alias("mesa"), F.col("_near.km").alias("km"))
     levels, leaves = _site_tree(sites)
     levels, leaves = [small(x) for x in levels], small(leaves)
     # the top cube is read back as data: a literal would make a product of the join with it
@@ -129,7 +139,7 @@ def nearest_site(points: DataFrame, sites: DataFrame) -> DataFrame:
         within = F.filter("kids", lambda k: kid_lb(k) <= F.col("bound"))
         x = x.join(level, "cell", "left").withColumn("cell", F.explode_outer(F.transform(within, lambda k: k["kid"]))).drop("kids")
     near = F.filter("sites", lambda s: kid_ub(s) <= F.col("bound"))
-    found = F.array_min(F.transform(near, lambda s: F.struct(haversine_km(F.col("lat"), F.col("lng"), s["lat"], s["lng"]).alias("km"), s["ord"].alias("ord"), s["mesa"].alias("mesa"))))
+    found = F.array_min(F.transform(near, _km_to))
     met = x.join(leaves, "cell", "left").select("_p", "id", "lat", "lng", found.alias("_near"))
     if levels:  # without levels every point has met the one leaf
         met = met.groupBy("_p").agg(F.first("id").alias("id"), F.first("lat").alias("lat"), F.first("lng").alias("lng"), F.min("_near").alias("_near"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 _OPEN = threading.local()
 _LOCAL: dict[str, str] = {}
+_MADE: set[str] = set()
 
 
 def top_folder(spark: SparkSession) -> str:
@@ -30,15 +31,23 @@ def top_folder(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
-def shared_dir(spark: SparkSession, name: str = "rosterloom") -> str:
-    """The name of a new folder below the shared one. It goes with the innermost open `scratch`, or else when the session's JVM ends."""
-    path = f"{top_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def _session_folder(spark: SparkSession) -> str:
+    """The session's own folder below the shared one, which goes when the session's JVM ends."""
+    path = f"{top_folder(spark)}/rosterloom-{spark.sparkContext.applicationId}"
+    if path not in _MADE:
+        fs, at = _fs(spark, path)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        _MADE.add(path)
+    return path
+
+
+def shared_dir(spark: SparkSession, name: str = "table") -> str:
+    """The name of a new folder that all machines share. It goes with the innermost open `scratch`, or else with the session."""
+    path = f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
     folders = getattr(_OPEN, "folders", None)
     if folders:
         folders[-1].append(path)
-    else:
-        fs, at = _fs(spark, path)
-        fs.deleteOnExit(at)
     return path
 
 

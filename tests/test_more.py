@@ -9,7 +9,7 @@ import pytest
 
 from rosterloom import cli
 from rosterloom.functions.rules import BASE_RULES, rules_for
-from rosterloom.operators import dedup, lookup, tasks
+from rosterloom.operators import dedup, layout, lookup, tasks
 from rosterloom.plans import queries, views
 from rosterloom.sources import readers
 
@@ -111,6 +111,27 @@ def test_nearest_of_many_sites_has_no_product(spark):
     assert len(got) == 3000 and all(got[i][0] == pytest.approx(km, abs=1e-6) and got[i][1] == o for i, (km, o) in want.items())
 
 
+def test_nearest_of_few_or_none(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 0.0)], "id long, lat double, lng double")
+    sites = lambda rows: spark.createDataFrame(rows, "ord long, mesa long, lat double, lng double")
+    got = lookup.nearest_site(points, sites([(2, 20, 0.0, -1.0), (1, 10, 0.0, 1.0), (3, 30, None, None)])).orderBy("id").collect()
+    assert [(r["id"], r["mesa"]) for r in got] == [(1, 10), (2, None)]
+    assert [r["mesa"] for r in lookup.nearest_site(points, sites([])).collect()] == [None, None]
+
+
+def test_a_page_of_very_many_words(spark):
+    """Linear: a page of 100,000 words, and repeated places."""
+    n = 100_000
+    words = spark.range(n).selectExpr("1L AS page", "id AS ord", "(id * 7919) % 50021 AS y")
+    rows = layout.word_rows(words).collect()
+    want, anchor, row = {}, None, -1
+    for y, o in sorted(((o * 7919) % 50021, o) for o in range(n)):
+        if anchor is None or y - anchor > 20:
+            anchor, row = y, row + 1
+        want[o] = row
+    assert {r["ord"]: r["row"] for r in rows} == want
+
+
 def ordered(df, *by):
     return [r["place"] for r in df.orderBy(*by).select("place").collect()]
 
