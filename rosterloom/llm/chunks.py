@@ -161,16 +161,20 @@ def forget(spark: SparkSession, since: int = 0) -> int:
 
 def take_rows(chunks: DataFrame, kept: DataFrame, like: DataFrame) -> DataFrame:
     """The rows of a chunk table that `kept` (chunk, nth) names, with the columns of `like`."""
-    names = like.columns
-    keep = kept.groupBy(F.col("chunk").alias("_chunk")).agg(F.collect_list("nth").alias("keep"))
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(like.schema)
+    keep = kept.groupBy(F.col("chunk").alias("_chunk")).agg(F.sort_array(F.collect_list("nth")).alias("keep"))
 
-    def chosen(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame()
-        table = unpack(left["docs"].iloc[0]).select(names)
-        return frame(table.take(pa.array(np.sort(right["keep"].iloc[0]))))
+    def chosen(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return arrow.empty_table()
+        rows = right["keep"].combine_chunks().flatten()
+        out = unpack(left["docs"][0].as_py()).select(arrow.names).take(rows).cast(arrow)
+        give_back()
+        return out
 
-    return chunks.select("chunk", "docs").groupBy("chunk").cogroup(keep.groupBy("_chunk")).applyInPandas(chosen, like.schema)
+    return chunks.select("chunk", "docs").groupBy("chunk").cogroup(keep.groupBy("_chunk")).applyInArrow(chosen, like.schema)
 
 
 # document frequencies -------------------------------------------------------------------------------
