@@ -41,6 +41,8 @@ CHUNK_BYTES = 4 << 20
 SHARED = 4
 #: Words of up to so many bytes are replayed together, in blocks of about so many bytes.
 LONG, BLOCK = 64, 3_000_000
+#: Words whose ids a worker remembers from one chunk to the next.
+MEMO = 400_000
 _NONE = 1 << 40
 
 
@@ -197,12 +199,25 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.cut, self.merges = ranks, cutter(pattern), Merges(ranks)
         self.token = {r: t for t, r in ranks.items()}
+        self.memo: dict[str, list[int]] = {}
+        self.memo_before: dict[str, list[int]] = {}
 
     def ids_of(self, words: list[str]) -> list[list[int]]:
-        raw = [w.encode() for w in words]
+        """The ids of each word; those that this worker has replayed lately are remembered, in two generations of half of MEMO."""
+        new, old = self.memo, self.memo_before
+        out = [new.get(w) or old.get(w) for w in words]
+        todo = [i for i, x in enumerate(out) if x is None]
+        raw = [words[i].encode() for i in todo]
         whole = [self.ranks.get(r) for r in raw]  # a whole token needs no merges
         merged = iter(replay([r for r, rank in zip(raw, whole, strict=True) if rank is None], self.merges))
-        return [next(merged) if rank is None else [rank] for rank in whole]
+        for i, r, rank in zip(todo, raw, whole, strict=True):
+            out[i] = next(merged) if rank is None else [rank]
+            if 0 < len(r) <= LONG:
+                if len(new) >= MEMO // 2:
+                    self.memo_before = new
+                    new = self.memo = {}
+                new[words[i]] = out[i]
+        return out
 
     def block(self, texts: list[str]) -> Iterator[list[list[int]]]:
         """For each text the ids of each of its words."""
