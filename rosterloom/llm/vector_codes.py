@@ -4,8 +4,9 @@ A component x becomes floor(1024 x). Vectors are cut into equal parts; each part
 starts as that part of the first vectors by id and is moved to the floor of its members' means in each round.
 
 The nearest entry is found by segment-mean lower bounds, from coarse to fine: a segment of a part is its mean and the norm
-of what the mean leaves, and L (mean difference)^2 + (norm difference)^2 is never more than the segment's true distance.
-Entries whose bound is above a distance already known are left out; the survivors get exact distances in whole numbers.
+of what the mean leaves, and L (mean difference)^2 + (norm difference)^2 is never more than the segment's true distance. The
+bounds of a block of rows against all entries are one product of matrices. Entries whose bound is above a distance already
+known are left out; the survivors get exact distances in whole numbers.
 
 - Rows whose vector is null, or holds a null or a component that isn't finite, are dropped. An empty table, or one without
   a vector left, gives no rows.
@@ -37,7 +38,7 @@ SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 #: Components are below this in size, so that 64 bits hold a squared distance.
 LARGEST = float(1 << 17)
 #: Segments of a part, from coarse to fine.
-SEGMENTS = (1, 4)
+SEGMENTS = (1, 4, 8)
 #: Rows of a block: its bounds against 256 entries are some megabytes.
 BLOCK = 2048
 #: So many labels may be broadcast with their sums.
@@ -45,12 +46,13 @@ MAX_SENT = 100_000
 
 
 class Book:
-    """A codebook (entries x width, whole numbers) with the means and residual norms of its segments."""
+    """A codebook (entries x width, whole numbers) with the means and residual norms of its segments, from coarse to fine."""
 
     def __init__(self, entries: np.ndarray, segments: tuple[int, ...] = SEGMENTS) -> None:
         self.entries = np.ascontiguousarray(entries, dtype=np.int64)
         self.levels = [n for n in segments if 0 < n <= self.entries.shape[1]]
-        self.digest = [digest(self.entries, n) for n in self.levels]
+        self.digests = [digest(self.entries, n) for n in self.levels]
+        self.squares = [np.einsum("ij,ij->i", d, d) for d in self.digests]
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The index of the nearest entry of each row of x, the lowest of equals, and its squared distance."""
@@ -60,24 +62,21 @@ class Book:
         return at, best
 
     def _block(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        rows, known = np.arange(len(x)), None
-        row = entry = None
-        for n, (means, norms, sizes) in zip(self.levels, self.digest, strict=True):
-            m, r, _ = digest(x, n)
-            if row is None:  # the coarsest level meets all entries
-                low = sum(sizes[s] * (m[:, s, None] - means[None, :, s]) ** 2 + (r[:, s, None] - norms[None, :, s]) ** 2 for s in range(n))
-                first = low.argmin(axis=1)
-                known = self._exact(x, rows, first)
-                row, entry = np.nonzero(_may(low, known[:, None]))
-            else:
-                low = sum(sizes[s] * (m[row, s] - means[entry, s]) ** 2 + (r[row, s] - norms[entry, s]) ** 2 for s in range(n))
-                starts = np.searchsorted(row, rows)
-                first = entry[_first_least(low, row, starts)]
-                known = np.minimum(known, self._exact(x, rows, first))
-                keep = _may(low, known[row])
-                row, entry = row[keep], entry[keep]
+        rows = np.arange(len(x))
+        known, left = np.full(len(x), np.inf), None
+        for n, entry_digest, squares in zip(self.levels, self.digests, self.squares, strict=True):
+            own = digest(x, n)
+            size = np.einsum("ij,ij->i", own, own)[:, None] + squares
+            low = size - 2 * (own @ entry_digest.T)
+            if left is not None:
+                low[~left] = np.inf
+            known = np.minimum(known, self._exact(x, rows, low.argmin(axis=1)))
+            # in floating point, with room for its rounding: what isn't surely farther than an entry that is known may be nearest
+            left = low - 1e-9 * size - 0.01 <= known[:, None]
+        row, entry = np.nonzero(left)
         d = self._exact(x, row, entry)
-        chosen = _first_least(d, row, np.searchsorted(row, rows))
+        least = np.flatnonzero(d == np.minimum.reduceat(d, np.searchsorted(row, rows))[row])
+        chosen = least[np.searchsorted(row[least], rows)]  # the first of equals
         return entry[chosen], d[chosen]
 
     def _exact(self, x: np.ndarray, row: np.ndarray, entry: np.ndarray) -> np.ndarray:
@@ -85,23 +84,14 @@ class Book:
         return np.einsum("ij,ij->i", d, d)
 
 
-def digest(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Mean and residual norm of each of so many segments of each row, and the segments' sizes."""
-    cuts = np.array_split(np.arange(x.shape[1]), segments)
-    means = np.stack([x[:, c].mean(axis=1) for c in cuts], axis=1)
-    norms = np.stack([np.sqrt(((x[:, c] - means[:, s, None]) ** 2).sum(axis=1)) for s, c in enumerate(cuts)], axis=1)
-    return means, norms, [len(c) for c in cuts]
-
-
-def _may(low: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Where a bound in floating point, with room for its rounding, doesn't rule an entry out."""
-    return low * (1 - 1e-9) - 0.01 <= known
-
-
-def _first_least(values: np.ndarray, row: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The place of the first least value of each run of equal rows; every row has a run."""
-    least = np.flatnonzero(values == np.minimum.reduceat(values, starts)[row])
-    return least[np.searchsorted(row[least], np.arange(len(starts)))]
+def digest(x: np.ndarray, segments: int) -> np.ndarray:
+    """For each row its segments' means, times the root of their size, and their residual norms: no two rows' digests are farther apart than the rows."""
+    out = []
+    for c in np.array_split(np.arange(x.shape[1]), segments):
+        mean = x[:, c].mean(axis=1)
+        rest = x[:, c] - mean[:, None]
+        out += [mean * np.sqrt(len(c)), np.sqrt(np.einsum("ij,ij->i", rest, rest))]
+    return np.stack(out, axis=1)
 
 
 def whole_numbers(vectors: DataFrame, id: str, vector: str, label: str) -> DataFrame:
