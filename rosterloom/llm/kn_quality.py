@@ -6,8 +6,8 @@ continuation counts, context totals) are joined with the distinct n-grams of the
 the log probabilities of its own n-grams back. A document whose perplexity is above the quantile of the trusted documents
 of its language and length is rejected.
 
-- All trusted documents take part, however many there are; their ids are broadcast up to `max_sent`, beyond that joined
-  by a shuffle.
+- All trusted documents take part, in the counts or in the quantiles, however many there are; their ids are broadcast up to
+  `max_sent`, beyond that joined by a shuffle.
 - A null or empty text has perplexity null and is accepted: nothing speaks against it. Labels of null ids, or with null
   quality, are not trusted. Rows that repeat an id are scored row by row; repeated labels count once. Very long texts are
   scored whole; a text of more than a chunk is a chunk of its own.

@@ -6,7 +6,9 @@ pair has one. The count of a word is its first symbols less the merges; no ident
 - A null text is empty and has no tokens. The special strings of the vocabulary count as one token each, as the
   tokenizer's default has it; none are added.
 - Rows pass one by one: ids may be null or repeated. No shuffle; memory is one Arrow batch and a memo of MEMO words.
-- Texts are whole: no truncation.
+- Texts are whole: no truncation. A word of any length is merged with a heap of its pairs; a text that is one very long word
+  is one such list.
+- An empty table gives no rows. Columns other than the id and the text aren't read, whatever their names.
 """
 
 from __future__ import annotations

@@ -59,5 +59,20 @@ def test_stages_of_odd_and_no_documents(spark, tmp_path):
         assert docs.columns == ["doc_id", "n_tokens", "token_ids", "decoded_sha256"]
 
 
+def test_stages_without_labels_or_benchmark(spark, tmp_path):
+    """Nothing is rejected and nothing is hit; of ties and repeats the first one stays, each document whole."""
+    cases.nothing(spark, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    cases.nothing(spark, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = cases.documents(spark)
+    sizes, kept = [], None
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.written(stage(spark, docs, str(tmp_path)))
+        sizes.append(docs.count())
+        kept = docs if name == "near_dedup" else kept
+    assert sizes[0] == sizes[1] == len(cases.ROWS) and sizes[2] == sizes[3] == sizes[4] < len(cases.ROWS)
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert ids.count(1) == 1 and 2 not in ids and 3 not in ids and ids.count(9) + ids.count(10) == 1 and ids.count(11) == 1
+
+
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "token_ids", "decoded_sha256"]
