@@ -37,14 +37,14 @@ def test_queries_leave_no_table(spark, name):
 
 def test_a_failing_stage_leaves_nothing(spark, monkeypatch):
     """A task that fails while chunks are written, and one after that."""
-    before, catalog = there(spark), tables(spark)
+    before, catalog, since = there(spark), tables(spark), chunks.made()
 
     def broken(*a):
         raise RuntimeError("lost")
 
     with pytest.raises(Exception, match="lost"):
         chunks.chunk_table(documents(spark).select("doc_id", "text"), "text", broken, "n long")
-    chunks.forget(spark)
+    chunks.forget(spark, since)
     assert tables(spark) == catalog and there(spark) == before
 
     def stage(spark, docs, sf_dir):
