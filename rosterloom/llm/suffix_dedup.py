@@ -4,12 +4,15 @@ A word position is retained if the hash of the `seed` words from it is the least
 every passage of window + seed - 1 words or more holds one, at the same place wherever it occurs. Retained suffixes whose
 seed is in one document only can't be in a shared passage and are left out.
 
-- A seed that NEAR + 1 documents or fewer hold, each once: its suffixes are sorted by what follows, in shards of the
-  suffix array by seed; each is compared with its neighbours, which are all others of its seed, and a match is extended
-  to both sides.
-- Any other shared seed: all windows of `least` words around its places are counted by their hashes. Those that two or
-  more documents hold are matches too; each holder is linked with the first and the last one, so that they are
-  connected without listing pairs.
+- The suffixes of a seed are sorted by what follows, in shards of the suffix array by seed, and each is compared with
+  the next. Neighbours that have r words in common, in a row, are an interval of the array; of these, the suffixes
+  with the same least - r words before them match, if they are of two or more documents. So all partners are found in
+  the intervals, however many share a seed, without comparing pairs. Each is linked with the first of its group.
+- A suffix is extended to both sides as far as its seed is the first least one: what lies beyond is another suffix's.
+- Hot keys are split: a seed with more than `hot` suffixes would be one task's work, as long as that seed is common, so
+  all windows of `least` words around its places are counted by their hashes, which spread over all shards. Those that
+  two or more documents hold are matches too; each holder is linked with the first and the last one. Both ways
+  find the same matches.
 
 Matches of `least` words or more are spans; the spans of a long passage overlap and are merged. Documents that share a
 span, at one or more removes, are a class.
@@ -39,10 +42,10 @@ from rosterloom.llm.common import _powers, col, grams_of, mix, words_of, written
 from rosterloom.llm.graph import components
 
 LEAST, SEED = 50, 8
-#: How many neighbours behind it a sorted suffix is compared with; seeds of more documents than one more have their windows counted.
-NEAR = 4
-#: A document that holds a seed more than once counts so much more: frequencies carry both numbers.
-TWICE = 1 << 28
+#: A seed of more suffixes is split: these are some 300 KB in one task.
+HOT = 1000
+#: Frequencies carry two numbers, documents below this and suffixes above.
+SUFFIX = 1 << 32
 
 
 def _slide(x: np.ndarray, n: int, of: np.ufunc) -> np.ndarray:
@@ -65,13 +68,30 @@ def minimisers(seeds: np.ndarray, owner: np.ndarray, window: int) -> np.ndarray:
     return (_slide(np.concatenate([edge, low, edge]), window, np.maximum) == seeds) & (seeds > 0)
 
 
-def suffixes(texts: list[bytes], least: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By pieces of the texts: word hashes and their texts; the word position, the text and the seed of each retained suffix; words of each text of the piece."""
+def reach(seeds: np.ndarray, owner: np.ndarray, at: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many positions before each of `at` have larger seeds than it has, in a row, and how many behind it have no smaller ones, up to `most`.
+
+    Of these it is the first least seed, as it is of every passage of `least` words whose seeds are among them; each passage is so one suffix's, the same wherever it occurs.
+    """
+    out = []
+    for way, blocks in ((-1, np.less_equal), (1, np.less)):
+        free, n = np.ones(len(at), bool), np.zeros(len(at), np.int64)
+        for k in range(1, most + 1):
+            i = at + way * k
+            there = (i >= 0) & (i < len(seeds))
+            i = np.where(there, i, at)
+            free &= there & (owner[i] == owner[at]) & ~blocks(seeds[i], seeds[at])
+            n += free
+        out.append(n)
+    return out[0], out[1]
+
+
+def suffixes(texts: list[bytes], least: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By pieces of the texts: word hashes and their texts; all seeds and their word positions; which of them are retained."""
     for a, b in pieces(texts):
         h, _, _, owner = words_of(texts[a:b])
         g, at = grams_of(h, owner, seed)
-        keep = minimisers(g, owner[at], least - seed + 1 - 1)
-        yield h, owner + a, at[keep], owner[at[keep]] + a, g[keep], np.bincount(owner, minlength=b - a)
+        yield h, owner + a, g, at, np.flatnonzero(minimisers(g, owner[at], least - seed + 1))
 
 
 def _contexts(h: np.ndarray, owner: np.ndarray, at: np.ndarray, first: int, last: int) -> np.ndarray:
@@ -102,13 +122,13 @@ def windows_of(h: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def seed_counts(found: list[np.ndarray], shards: int) -> tuple[list[bytes], list[bytes]]:
-    """The SHARDED columns of a chunk's seeds, given as (text, seed) of each retained position: documents, and TWICE for each that holds one more than once."""
+def seed_counts(found: list[np.ndarray], shards: int, hot: int) -> tuple[list[bytes], list[bytes]]:
+    """The SHARDED columns of a chunk's seeds, given as (text, seed) of each retained position: documents, and SUFFIX for each suffix (of one document, up to one more than `hot`)."""
     prints, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
     for pairs in found:
         each, times = np.unique(pairs, axis=1, return_counts=True)
         prints.append(each[1])
-        counts.append(np.where(times > 1, TWICE + 1, 1).astype(np.uint64))
+        counts.append(np.minimum(times, hot + 1).astype(np.uint64) * np.uint64(SUFFIX) + np.uint64(1))
     distinct, at = np.unique(np.concatenate(prints), return_inverse=True)
     sums = np.bincount(at, np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)
     edges = _cuts(distinct, shards)
@@ -172,25 +192,53 @@ _SUFFIX = "seed long, after binary, before binary, chunk long, nth long, pos lon
 _MATCH = "chunk long, nth long, first long, last long, p_chunk long, p_nth long"
 
 
-def _spans(rows: pd.DataFrame, least: int) -> pd.DataFrame:
-    """The matches of sorted suffixes with those of the same seed behind them; a pair serves both."""
+def _matrix(rows: pd.Series, width: int) -> np.ndarray:
+    """Hashes of words, a row each, with 0 where there are no more."""
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+    out = np.zeros((len(rows), width), np.uint64)
+    out[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(rows), ">u4")
+    return out
+
+
+def _spans(rows: pd.DataFrame, least: int, seed: int) -> pd.DataFrame:
+    """The matches of sorted suffixes, whole seeds at a time: a row for each suffix that has one and each group it is in, or itself if it is the first of all."""
     n = len(rows)
-    chunk, nth, pos, seed = (rows[c].to_numpy(np.int64) for c in ("chunk", "nth", "pos", "seed"))
-    after = np.frombuffer(b"".join(rows["after"]), ">u4").reshape(n, -1)
-    before = np.frombuffer(b"".join(rows["before"]), ">u4").reshape(n, -1)
-    out = []
-    for k in range(1, NEAR + 1):
-        i = np.flatnonzero(seed[: max(n - k, 0)] == seed[k:])
-        j = i + k
-        right, left = _common(after[i], after[j]), _common(before[i], before[j])
-        ok = right + left >= least
-        i, j, right, left = i[ok], j[ok], right[ok], left[ok]
-        for x, y in ((i, j), (j, i)):
-            out.append(pd.DataFrame({"chunk": chunk[x], "nth": nth[x], "first": pos[x] - left, "last": pos[x] + right, "p_chunk": chunk[y], "p_nth": nth[y]}))
-    return pd.concat(out).drop_duplicates()
-
-
-def _neighbours(kept: DataFrame, least: int) -> DataFrame:
+    chunk, nth, pos, key = (rows[c].to_numpy(np.int64) for c in ("chunk", "nth", "pos", "seed"))
+    size = np.fromiter(map(len, rows["before"]), np.int64, n) // 4
+    before, after = (_matrix(rows[c], least - seed) for c in ("before", "after"))
+    doc = mix(mix(chunk.view(np.uint64)) + nth.astype(np.uint64))
+    common = np.zeros(n + 1, np.int64)  # with the suffix before, in words
+    common[1:n] = np.where(key[1:] == key[:-1], _common(after[1:], after[:-1]) + seed, 0)
+    left, right, own, first = np.zeros(n, np.int64), np.zeros(n, np.int64), [], []
+    held = np.zeros(n, np.uint64)  # what stands before, so far
+    for need in range(least - seed + 1):
+        r = least - need
+        if need:
+            held = mix(held + before[:, need - 1])
+        inside = (common[:n] >= r) | (common[1:] >= r)  # not alone in its interval
+        at = np.flatnonzero(inside & (size >= need))
+        if not len(at):
+            continue
+        interval = np.cumsum(common[:n] < r)[at]
+        group = mix(mix(interval.astype(np.uint64)) + held[at])
+        order = np.argsort(group, kind="stable")
+        at, group = at[order], group[order]
+        start = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        sizes = np.diff(start, append=len(at))
+        two = np.repeat(np.minimum.reduceat(doc[at], start) != np.maximum.reduceat(doc[at], start), sizes)
+        i, j = at[two], np.repeat(at[start], sizes)[two]
+        left[i], right[i] = need, np.maximum(right[i], r)
+        other = doc[i] != doc[j]
+        own.append(i[other])
+        first.append(j[other])
+    matched = np.flatnonzero(right)
+    if not len(matched):
+        return pd.DataFrame(columns=[x.split(" ")[0] for x in _MATCH.split(", ")], dtype=np.int64)
+    i, j = np.unique(np.stack([np.concatenate([matched, *own]), np.concatenate([matched, *first])]), axis=1)
+    return pd.DataFrame({"chunk": chunk[i], "nth": nth[i], "first": pos[i] - left[i], "last": pos[i] + right[i], "p_chunk": chunk[j], "p_nth": nth[j]}).drop_duplicates()
+
+
+def _neighbours(kept: DataFrame, least: int, seed: int) -> DataFrame:
     """The matches (_MATCH) of suffixes with their neighbours in the sorted shards of the suffix array."""
     own = [x.split(" ")[0] for x in _SUFFIX.split(", ")]
 
@@ -200,22 +248,22 @@ def _neighbours(kept: DataFrame, least: int) -> DataFrame:
             held = pdf if held is None else pd.concat([held, pdf])
             last = held["seed"].to_numpy() == held["seed"].iloc[-1]  # more of this seed may come
             if not last.all():
-                yield _spans(held[~last], least)
+                yield _spans(held[~last], least, seed)
                 held = held[last]
         if held is not None:
-            yield _spans(held, least)
+            yield _spans(held, least, seed)
 
     return kept.select(own).repartition("seed").sortWithinPartitions("seed", "after").mapInPandas(run, _MATCH)
 
 
-def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST, seed: int = SEED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST, seed: int = SEED, hot: int = HOT, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """id, n_words, n_repeated (words in spans), spans (array of first and last word, the last exclusive), class_id and class_size of each row."""
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    back, ahead = least - seed, least
+    around = least - seed
 
     def about(table: pa.Table) -> dict[str, list]:
-        held = [np.stack([t.astype(np.uint64), g]) for _, _, _, t, g, _ in suffixes(bytes_of(table, text), least, seed)]
-        return dict(zip(("prints", "counts"), seed_counts(held, shards), strict=True))
+        held = [np.stack([owner[at[i]].astype(np.uint64), g[i]]) for _, owner, g, at, i in suffixes(bytes_of(table, text), least, seed)]
+        return dict(zip(("prints", "counts"), seed_counts(held, shards, hot), strict=True))
 
     chunks = chunk_table(docs.select(*map(col, dict.fromkeys((id, text)))), text, about, SHARDED, chunk_bytes)
     answer = document_frequencies(chunks)
@@ -226,27 +274,27 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int
 
     def shared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = list(suffixes(bytes_of(unpack(left["docs"].iloc[0]), text), least, seed))
-        prints = np.concatenate([np.zeros(0, np.uint64), *(g for *_, g, _ in found)])
+        prints = np.concatenate([np.zeros(0, np.uint64), *(g[i] for _, _, g, _, i in found)])
         df = frequencies_of(prints, right) if len(prints) else prints
         out, held, done = [], [], 0
-        for h, owner, at, text_no, g, _ in found:
-            docs, twice = df[done : done + len(g)] % TWICE, df[done : done + len(g)] // TWICE
-            keep = docs > 1
-            done += len(g)
-            many = at[keep & ((docs > NEAR + 1) | (twice > 0))]
+        for h, owner, g, at, i in found:
+            docs, times = df[done : done + len(i)] % SUFFIX, df[done : done + len(i)] // SUFFIX
+            done += len(i)
+            many = at[i[(docs > 1) & (times > hot)]]
             if len(many):  # the windows that hold one of these seeds
-                edge = np.bincount(np.maximum(many - back, 0), minlength=len(h) + 1) - np.bincount(many + 1, minlength=len(h) + 1)
+                edge = np.bincount(np.maximum(many - around, 0), minlength=len(h) + 1) - np.bincount(many + 1, minlength=len(h) + 1)
                 hashes = windows_of(h, owner, least)
-                i = np.flatnonzero((np.cumsum(edge)[: len(h)] > 0) & (hashes > 0))
-                held.append((owner[i], hashes[i]))
-            keep &= (docs <= NEAR + 1) & (twice == 0)
-            at, g = at[keep], g[keep]
-            if not len(at):
+                k = np.flatnonzero((np.cumsum(edge)[: len(h)] > 0) & (hashes > 0))
+                held.append((owner[k], hashes[k]))
+            i = i[(docs > 1) & (times <= hot)]
+            if not len(i):
                 continue
-            starts = np.searchsorted(owner, text_no[keep])  # the first word of each text
-            after, before = _contexts(h, owner, at, 0, ahead), _contexts(h, owner, at, -1, -1 - back)
-            cut = lambda x: [r.tobytes() for r in x]
-            out.append(pd.DataFrame({"seed": g.view(np.int64), "after": cut(after), "before": cut(before), "chunk": left["chunk"].iloc[0], "nth": text_no[keep], "pos": at - starts}))
+            before, after = reach(g, owner[at], i, around)
+            own = at[i]
+            nth = owner[own]
+            cut = lambda x, n: [r[:k].tobytes() for r, k in zip(x, n.tolist())]
+            before, after = cut(_contexts(h, owner, own, -1, -1 - around), before), cut(_contexts(h, owner, own, seed, least), after)
+            out.append(pd.DataFrame({"seed": g[i].view(np.int64), "after": after, "before": before, "chunk": left["chunk"].iloc[0], "nth": nth, "pos": own - np.searchsorted(owner, nth)}))
         if held:
             out.append(window_rows(left["chunk"].iloc[0], held, shards))
         give_back()
@@ -289,7 +337,7 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int
 
     kept = written(chunks.select("chunk", "docs").groupBy("chunk").cogroup(answer.groupBy("_chunk")).applyInPandas(shared, both))
     answered = held_windows(kept.where("shard IS NOT NULL"))
-    spans = written(_neighbours(kept.where("shard IS NULL"), least))
+    spans = written(_neighbours(kept.where("shard IS NULL"), least, seed))
     ids = written(chunks.select("chunk", "docs").groupBy("chunk").cogroup(answered.groupBy("_chunk")).applyInPandas(sizes, f"id {kind}, chunk long, nth long, n_words long, exact array<struct<first: long, last: long>>, mates array<struct<p_chunk: long, p_nth: long>>"))
     own, other = F.struct("chunk", "nth"), F.struct(F.col("p_chunk").alias("chunk"), F.col("p_nth").alias("nth"))
     links = spans.select("chunk", "nth", "p_chunk", "p_nth").union(ids.select("chunk", "nth", F.inline("mates"))).select(own.alias("a"), other.alias("b")).distinct()

@@ -265,23 +265,26 @@ def brute_repeats(rows, least=50):
     return out
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 4])
 @pytest.mark.parametrize("clash", [False, True])
-def test_repeats(spark, clash):
-    out = suffix_dedup.repeats(cases.documents(spark, clash), chunk_bytes=SMALL)
+def test_repeats(spark, clash, hot):
+    out = suffix_dedup.repeats(cases.documents(spark, clash), hot=hot, chunk_bytes=SMALL)
     assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in out.collect()) == brute_repeats(cases.ROWS)
     by = {r["doc_id"]: r for r in out.collect()}
     assert [tuple(s) for s in by[5]["spans"]] == [(90, 150)]
     assert classes_of(out.collect()) == brute_passage_classes(cases.ROWS)
 
 
-def test_passages_of_the_least_length_and_across_partitions(spark):
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 4])
+def test_passages_of_the_least_length_and_across_partitions(spark, hot):
     p = cases.words(51)
     rows = [(i, f"{cases.words(40)} {p} {cases.words(5 + i % 7)}", "en", "a", 1) for i in range(40)] + [(90, cases.words(49), "en", "a", 1), (91, "go " * 70, "en", "a", 1), (92, "go " * 80, "en", "a", 1)]
-    out = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA).repartition(5), chunk_bytes=3000)
+    out = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA).repartition(5), hot=hot, chunk_bytes=3000)
     assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in out.collect()) == brute_repeats(rows)
 
 
-def test_groups_and_links_beyond_the_neighbours(spark):
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 4])
+def test_groups_and_links_beyond_the_neighbours(spark, hot):
     # 40 documents share a seed of 16 words; 19 have the right of document 0, 19 its left, one a shorter part of both
     pick, core = random.Random(13), own_words(random.Random(14), 16)
     left, right = own_words(pick, 30), own_words(pick, 30)
@@ -292,7 +295,7 @@ def test_groups_and_links_beyond_the_neighbours(spark):
     group = own_words(pick, 120)
     rows += [(100 + i, [*own_words(pick, 3 + i), *group[i : i + 80], *own_words(pick, 5)]) for i in range(30)]
     rows = [(i, " ".join(w), "en", "a", 1) for i, w in rows]
-    got = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA).repartition(3), chunk_bytes=4000).collect()
+    got = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA).repartition(3), hot=hot, chunk_bytes=4000).collect()
     assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in got) == brute_repeats(rows)
     assert classes_of(got) == brute_passage_classes(rows) and {r["n_repeated"] for r in got if r["doc_id"] in (0, 39)} == {64}
 
@@ -340,24 +343,26 @@ def own_words(pick, n):
     return [f"w{pick.randrange(10**9)}" for _ in range(n)]
 
 
-def test_passages_around_a_common_core(spark):
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 4])
+def test_passages_around_a_common_core(spark, hot):
     # the retained position lies in the core that many have; the partner that shares both sides is often no neighbour
     pick, rows = random.Random(11), []
     for _ in range(3):
         core, lefts, rights = own_words(pick, 30), [own_words(pick, 12) for _ in range(20)], [own_words(pick, 12) for _ in range(20)]
         rows += [(i, " ".join([*own_words(pick, 5), *pick.choice(lefts), *core, *pick.choice(rights), *own_words(pick, 5)]), "en", "a", 1) for i in range(len(rows), len(rows) + 300)]
-    out = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA).repartition(3), chunk_bytes=50_000)
+    out = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA).repartition(3), hot=hot, chunk_bytes=50_000)
     got = out.collect()
     assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in got) == brute_repeats(rows)
     assert all((r["class_size"] > 1) == bool(r["n_repeated"]) for r in got) and classes_of(got) == brute_passage_classes(rows)
 
 
-def test_a_passage_twice_in_one_document_is_no_span(spark):
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 4])
+def test_a_passage_twice_in_one_document_is_no_span(spark, hot):
     # others hold less than a span of it, and sort between its two places
     pick, rows = random.Random(12), []
     for _ in range(12):
         p = own_words(pick, 60)
         rows.append((len(rows), " ".join([*p, *own_words(pick, 30), *p, *own_words(pick, 30)]), "en", "a", 1))
         rows += [(i, " ".join([*own_words(pick, 30), *p[15:], *own_words(pick, 30)]), "en", "a", 1) for i in range(len(rows), len(rows) + 3)]
-    out = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA))
+    out = suffix_dedup.repeats(spark.createDataFrame(rows, cases.SCHEMA), hot=hot)
     assert Counter((str(r["doc_id"]), str(r["n_words"]), str(r["n_repeated"])) for r in out.collect()) == brute_repeats(rows)
