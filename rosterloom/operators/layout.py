@@ -46,7 +46,8 @@ def text_spans(spans: DataFrame, size: float = 8.0, tolerance: float = 0.5, bold
     """Raw spans (page, ord, page_width, text, size, font, x0, y0) that are text of that size, with bold, col, y, x and their place on the page (pos).
 
     A span's font is bold if its name has `bold`; it is in the second column from the middle of the page on. Blank text and
-    text of other sizes goes. Spans in one place stay in their order (ord).
+    text of other sizes goes. Spans in one place stay in their order (ord), those of one number too go by text and bold, so
+    that the places are the same in each run.
     """
     text = strip(F.col("text"))
     fine = spans.where((text != "") & (F.abs(F.col("size") - size) < tolerance))
@@ -54,7 +55,7 @@ def text_spans(spans: DataFrame, size: float = 8.0, tolerance: float = 0.5, bold
         "page", "ord", text.alias("text"), F.contains("font", F.lit(bold)).alias("bold"),
         F.when(F.col("x0") < F.col("page_width") / 2, 0).otherwise(1).cast("bigint").alias("col"), F.bround("y0", 1).alias("y"), F.bround("x0", 1).alias("x"),
     )
-    return reading_order(x, "ord")
+    return reading_order(x, "ord", "text", "bold")
 
 
 def gap_columns(spans: DataFrame, least: float = 12.0) -> DataFrame:

@@ -49,6 +49,15 @@ def test_scalar_texts_of_many_pages(spark, tmp_path):
     assert rows(queries.QUERIES["scalar_texts"](spark, str(tmp_path)).toPandas()) == rows(con.sql(more.SQL["scalar_texts"]).df())
 
 
+def test_spans_of_one_place_and_number(spark):
+    """Whatever order they come in, their places are the same."""
+    spans = [(1, 4, 600.0, t, 8.0, f, 102.0, 234.0) for t, f in ((" t2342 ", "Plain"), ("t15222", "HvBold"), ("t15222", "Plain"), ("t9", "Plain"))] + [(1, 3, 600.0, "z", 8.0, "Plain", 102.0, 234.0)]
+    columns = "page long, ord long, page_width double, text string, size double, font string, x0 double, y0 double"
+    for x in (spans, spans[::-1]):
+        got = layout.text_spans(spark.createDataFrame(x, columns).coalesce(1)).orderBy("pos").collect()
+        assert [(r["text"], r["bold"], r["pos"]) for r in got] == [("z", False, 0), ("t15222", False, 1), ("t15222", True, 2), ("t2342", False, 3), ("t9", False, 4)]
+
+
 def test_command_line(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "page_0003.txt").write_text("MESA: 4\nDNI 12345678 GOMEZ ANA  0-069-MS-0012 5\nDNI 22345678 SOSA LUIS  JUBILADO/A 6\n")
