@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -285,6 +286,21 @@ def test_audit_by_brute_force(spark, monkeypatch, least, cells, held):
         assert audited(clash, least=least) == brute_audit(docs, least)
 
 
+def test_counts_are_given_out_within_a_batch(monkeypatch):
+    """What a task holds is bounded by terms, not by how many documents come at once."""
+    monkeypatch.setattr(D, "HELD", 100)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghij") + rng.choice("klmnopqrst") + rng.choice("uvwxyz") for _ in range(20)) for _ in range(300)]
+    frame = type("Frame", (), {"mapInArrow": lambda self, run, schema: run})()
+    given = list(D.counted(frame)(iter([pa.RecordBatch.from_pydict({"text": texts, "lang": ["en"] * 300, "source": ["a"] * 300})])))
+    assert max(b.num_rows for b in given) <= 120
+    n, docs = Counter(), Counter()
+    for r in (r for b in given for r in b.to_pylist()):
+        n[r["term"]] += r["n"]
+        docs[r["term"]] += r["docs"]
+    assert n == Counter(w for t in texts for w in t.split()) and docs == Counter(w for t in texts for w in set(t.split()))
+
+
 def test_audit_of_repeats_and_nothing(spark):
     docs = [("same words here", "en", "a")] * 40 + [("same words there", "en", "b")] * 40
     assert audited(spark.createDataFrame(docs, "text string, lang string, source string")) == brute_audit(docs, 30)
